@@ -80,7 +80,7 @@ WITH raw AS (
   SELECT line, min((doc_id, pos)) AS place, length(line) AS n FROM lines WHERE line <> '' GROUP BY line
 ), gone AS (
   SELECT DISTINCT b.line FROM firsts a JOIN firsts b ON (a.n = b.n OR a.n = b.n - 1 OR a.n = b.n + 1) AND a.place < b.place
-  WHERE (left(a.line, least(a.n, b.n) // 2) = left(b.line, least(a.n, b.n) // 2) OR right(a.line, least(a.n, b.n) // 2) = right(b.line, least(a.n, b.n) // 2)) AND levenshtein(a.line, b.line) <= 1
+  WHERE (left(a.line, least(a.n, b.n) // 2) = left(b.line, least(a.n, b.n) // 2) OR right(a.line, least(a.n, b.n) // 2) = right(b.line, least(a.n, b.n) // 2)) AND len([i FOR i IN range(0, least(a.n, b.n) + 1) IF left(a.line, i) = left(b.line, i) AND substr(a.line, i + 1 + (a.n >= b.n)::INT) = substr(b.line, i + 1 + (b.n >= a.n)::INT)]) > 0
 ), kept AS (
   SELECT l.doc_id, l.pos, l.raw FROM lines l LEFT JOIN firsts f ON l.line = f.line
   WHERE l.line = '' OR (f.place = (l.doc_id, l.pos) AND l.line NOT IN (SELECT line FROM gone))
