@@ -67,33 +67,33 @@ class Merges:
         letters = byte_letters()
         self.plain = [self.ids[c] for c in letters]
         self.final = [self.ids[c + END] for c in letters]
-        self.symbols: dict[int, tuple[int, ...]] = {i: (i,) for i in (*self.plain, *self.final)}
+        # one letter for each symbol: the byte, or the byte + 256 where a word ends with it
+        self.symbols: dict[int, str] = {t: chr(b) for b, t in enumerate(self.plain)} | {t: chr(b + 256) for b, t in enumerate(self.final)}
         for t in sorted(self.halves):
             a, b = self.halves[t]
             self.symbols[t] = self.symbols[a] + self.symbols[b]
         self.reach = max(map(len, self.symbols.values()))
-        #: Token by its symbols, and every proper beginning of one (no token: -1), read from the end.
-        self.tails: dict[tuple[int, ...], int] = {}
+        #: Token by its symbols, and every proper ending of one (no token: -1).
+        self.tails: dict[str, int] = {}
         for t, s in self.symbols.items():
-            back = s[::-1]
-            self.tails[back] = t
-            for n in range(1, len(back)):
-                self.tails.setdefault(back[:n], -1)
+            self.tails[s] = t
+            for n in range(1, len(s)):
+                self.tails.setdefault(s[n:], -1)
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.split = regex.compile(pattern)
-        self._stay: dict[tuple[int, int], bool] = {}
+        #: Pairs judged before.
+        self.known: dict[tuple[int, int], bool] = {}
 
     def stay(self, left: int, right: int) -> bool:
         """Whether two tokens stay as they are when their symbols are encoded together."""
-        key = (left, right)
-        got = self._stay.get(key)
+        got = self.known.get((left, right))
         if got is None:
-            if len(self._stay) > 400_000:
-                self._stay.clear()
-            got = self._stay[key] = self._crossed(left, right)
+            if len(self.known) > 400_000:
+                self.known.clear()
+            got = self.known[left, right] = self._untouched(left, right)
         return got
 
-    def _crossed(self, left: int, right: int) -> bool:
+    def _untouched(self, left: int, right: int) -> bool:
         latest = len(self.names) + len(self.special) + 1
         while True:
             made = self.joined.get((left, right))
@@ -114,37 +114,48 @@ class Encoder:
 
     def __init__(self, merges: Merges):
         self.m = merges
-        self.back: list[int] = []  # symbols of the window, latest last
-        self.last: list[tuple[int, int]] = []  # (last token, its length) of the prefix that ends at each window position
-        self.base = 0  # window positions before which all is emitted
-
-    def feed(self, symbol: int) -> list[int]:
-        self._read(symbol)
-        return self._stable() if len(self.last) > 2 * self.m.reach else []
-
-    def _read(self, symbol: int) -> None:
-        back, last, tails, stay = self.back, self.last, self.m.tails, self.m.stay
-        back.append(symbol)
-        n, tail, found = len(back), (), []
-        for k in range(1, min(n, self.m.reach) + 1):
-            tail += (back[-k],)
-            token = tails.get(tail)
-            if token is None:
-                break
-            if token >= 0:
-                found.append((token, k))
-        for token, k in reversed(found):
-            if k == n or stay(last[n - k - 1][0], token):
-                last.append((token, k))
-                return
-        raise AssertionError("no token ends here")
+        self.back = ""  # symbols of the window
+        self.last: list[int] = []  # last token of the prefix that ends at each window position
+        self.size: list[int] = []  # and its length
+        self.held = False  # whether the window begins with a token that is emitted already
+
+    def feed(self, symbols: str) -> list[int]:
+        out: list[int] = []
+        step = 2 * self.m.reach
+        for at in range(0, len(symbols), step):
+            self._read(symbols[at : at + step])
+            if len(self.last) > step:
+                out += self._stable()
+        return out
+
+    def _read(self, symbols: str) -> None:
+        tails, known, stay, last, size = self.m.tails, self.m.known, self.m.stay, self.last, self.size
+        n = len(self.back)
+        self.back = back = self.back + symbols
+        for n in range(n + 1, len(back) + 1):
+            found = []
+            for k in range(n - 1, -1, -1):
+                token = tails.get(back[k:n])
+                if token is None:
+                    break
+                if token >= 0:
+                    found.append((token, k))
+            while True:  # the longest token that fits behind what the prefix before it ends with
+                token, k = found.pop()
+                if not k:
+                    break
+                fits = known.get((before := last[k - 1], token))
+                if fits or (fits is None and stay(before, token)):
+                    break
+            last.append(token)
+            size.append(n - k)
 
     def _chain(self, end: int) -> list[int]:
         """Ends of the tokens of the prefix that ends at a window position, latest first."""
         ends = []
         while end > 0:
             ends.append(end)
-            end -= self.last[end - 1][1]
+            end -= self.size[end - 1]
         return ends
 
     def _stable(self) -> list[int]:
@@ -155,28 +166,25 @@ class Encoder:
         if not shared:
             return []
         keep = max(shared)
-        out = [self.last[e - 1][0] for e in reversed(self._chain(keep))]
-        # the token before the window still decides whether the first one behind it fits: a window begins with that token
-        start = keep - self.last[keep - 1][1]
-        held = out.pop()
-        del held
-        self.back, self.last = self.back[start:], self.last[start:]
-        # positions inside the held token keep their own chains only if these lie in the window
-        self.last = [(t, min(k, i + 1)) for i, (t, k) in enumerate(self.last)]
+        chain = self._chain(keep)
+        out = [self.last[e - 1] for e in reversed(chain)][self.held :]
+        # the last token that is emitted stays in the window: it decides what fits behind it
+        start = keep - self.size[keep - 1]
+        self.back, self.last, self.held = self.back[start:], self.last[start:], True
+        # no token behind it begins before its end, so chains from inside it are not followed further
+        self.size = [min(k, i + 1) for i, k in enumerate(self.size[start:])]
         return out
 
     def finish(self) -> list[int]:
-        out = [self.last[e - 1][0] for e in reversed(self._chain(len(self.last)))]
-        self.back, self.last = [], []
+        out = [self.last[e - 1] for e in reversed(self._chain(len(self.last)))][self.held :]
+        self.back, self.last, self.size, self.held = "", [], [], False
         return out
 
 
 def encode_word(m: Merges, word: bytes) -> list[int]:
     """Tokens of one pre-token, by the streaming encoder; the last byte carries the word end."""
-    enc, out = Encoder(m), []
-    for b in word[:-1]:
-        out += enc.feed(m.plain[b])
-    out += enc.feed(m.final[word[-1]])
+    enc = Encoder(m)
+    out = enc.feed(word[:-1].decode("latin-1") + chr(word[-1] + 256))
     return out + enc.finish()
 
 
@@ -212,57 +220,68 @@ _ODD = regex.compile(r"[\x1c-\x1f]")
 class Codec:
     """Whole texts: normalisation, pre-tokenisation, and a bounded memory of chunks met before."""
 
-    #: Chunks remembered in each of two generations.
-    KEEP = 150_000
+    #: Chunks remembered in each of two generations; words likewise.
+    KEEP = 300_000
 
     def __init__(self, path: str):
         self.m = Merges(path)
         self.decoder = Decoder(self.m)
         self.young: dict[str, tuple[bytes, bytes]] = {}
         self.old: dict[str, tuple[bytes, bytes]] = {}
+        self.words: dict[str, tuple[bytes, bytes]] = {}
+        self.old_words: dict[str, tuple[bytes, bytes]] = {}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.m.special)) + ")") if self.m.special else None
 
-    def ids_of(self, chunk: str) -> list[int]:
-        return [t for w in self.m.split.findall(chunk) for t in encode_word(self.m, w.encode("utf-8", "surrogatepass"))]
+    def _word(self, word: str) -> tuple[bytes, bytes]:
+        """ids as little-endian 32-bit numbers, and spelling, of a pre-token."""
+        got = self.words.get(word) or self.old_words.get(word)
+        if got is None:
+            ids = encode_word(self.m, word.encode("utf-8", "surrogatepass"))
+            got = (b"".join([i.to_bytes(4, "little") for i in ids]), "".join(self.decoder.spelled(ids)).encode("utf-8"))
+        if len(word) <= 64:
+            if len(self.words) >= self.KEEP:
+                self.old_words, self.words = self.words, {}
+            self.words[word] = got
+        return got
 
     def _new(self, chunk: str) -> tuple[bytes, bytes]:
-        got = self.old.pop(chunk, None)
+        got = self.young.get(chunk)
+        if got is not None:
+            return got
+        got = self.old.get(chunk)
         if got is None:
-            ids = self.ids_of(chunk)
-            got = (b"".join(i.to_bytes(4, "little") for i in ids), "".join(self.decoder.spelled(ids)).encode("utf-8"))
+            parts = [self._word(w) for w in self.m.split.findall(chunk)]
+            got = parts[0] if len(parts) == 1 else (b"".join([p[0] for p in parts]), b" ".join([p[1] for p in parts]))
         if len(chunk) <= 64:
             if len(self.young) >= self.KEEP:
                 self.old, self.young = self.young, {}
             self.young[chunk] = got
         return got
 
-    def _plain(self, text: str) -> Iterator[tuple[bytes, bytes]]:
+    def _plain(self, text: str) -> Iterator[list[tuple[bytes, bytes]]]:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         text = text.lower()
         chunks = regex.split(r"\s+", text) if _ODD.search(text) else text.split()
-        young, new = self.young, self._new
-        for c in chunks:
-            got = young.get(c)
-            if got is None:
-                got = new(c)
-                young = self.young
-            yield got
-
-    def pieces(self, text: str | None) -> Iterator[tuple[bytes, bytes]]:
-        """(ids as little-endian 32-bit numbers, spelling) of each blank-separated chunk."""
+        new = self._new
+        for at in range(0, len(chunks), 65536):
+            known = self.young.get
+            yield [known(c) or new(c) for c in chunks[at : at + 65536]]
+
+    def pieces(self, text: str | None) -> Iterator[list[tuple[bytes, bytes]]]:
+        """(ids as little-endian 32-bit numbers, spelling) of each blank-separated chunk, in lots of bounded size."""
         text = text or ""
         if self.cut is None or "<|" not in text:
             yield from self._plain(text)
             return
         for part in self.cut.split(text):
             if part in self.m.special:
-                yield self.m.special[part].to_bytes(4, "little"), part.encode()
+                yield [(self.m.special[part].to_bytes(4, "little"), part.encode())]
             else:
                 yield from self._plain(part)
 
     def encode(self, text: str | None) -> list[int]:
-        raw = b"".join(p[0] for p in self.pieces(text))
+        raw = b"".join([p[0] for lot in self.pieces(text) for p in lot])
         return [int.from_bytes(raw[i : i + 4], "little") for i in range(0, len(raw), 4)]
 
     def decode(self, ids: list[int]) -> str:
@@ -271,28 +290,14 @@ class Codec:
     def digest(self, text: str | None) -> tuple[int, str, str]:
         """Number of tokens, SHA-256 of the ids and of the decoded text; both streams are hashed as they come."""
         ids, spelled, n, first = hashlib.sha256(), hashlib.sha256(), 0, True
-        raw: list[bytes] = []
-        out: list[bytes] = []
-
-        def flush() -> None:
-            nonlocal n, first
-            both = b"".join(raw)
-            n += len(both) // 4
-            ids.update(both)
-            line = b" ".join(out)
+        for lot in self.pieces(text):
+            raw = b"".join([p[0] for p in lot])
+            line = b" ".join([p[1] for p in lot if p[0]])
+            n += len(raw) // 4
+            ids.update(raw)
             if line:
                 spelled.update(line if first else b" " + line)
                 first = False
-            raw.clear()
-            out.clear()
-
-        for a, b in self.pieces(text):
-            if a:
-                raw.append(a)
-                out.append(b)
-                if len(raw) >= 65536:
-                    flush()
-        flush()
         return n, ids.hexdigest(), spelled.hexdigest()
 
 
