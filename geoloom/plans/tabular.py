@@ -268,7 +268,7 @@ def confidence_gate(spark, sf_dir):
 
 
 @query(f"""WITH r AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY {ORD}) AS rn FROM lineitem), p AS (SELECT a.l_orderkey, a.l_quantity AS x, b.l_quantity AS y FROM r a JOIN r b ON a.l_orderkey = b.l_orderkey AND a.rn = 1 AND b.rn = 2)
-SELECT l_orderkey, CASE WHEN x // 10 = y // 10 AND (x // 10) * 10 BETWEEN 10 AND 40 THEN (x // 10) * 10 END AS value, CASE WHEN x // 10 = y // 10 AND (x // 10) * 10 BETWEEN 10 AND 40 THEN 0.92 ELSE 0.0 END::DOUBLE AS confidence, CASE WHEN x // 10 <> y // 10 THEN 'divergence-2-passes' WHEN NOT (x // 10) * 10 BETWEEN 10 AND 40 THEN 'hors-plage' END AS flag FROM p""")
+SELECT l_orderkey, CASE WHEN floor(x / 10) = floor(y / 10) AND floor(x / 10) * 10 BETWEEN 10 AND 40 THEN floor(x / 10) * 10 END AS value, CASE WHEN floor(x / 10) = floor(y / 10) AND floor(x / 10) * 10 BETWEEN 10 AND 40 THEN 0.92 ELSE 0.0 END::DOUBLE AS confidence, CASE WHEN floor(x / 10) <> floor(y / 10) THEN 'divergence-2-passes' WHEN NOT floor(x / 10) * 10 BETWEEN 10 AND 40 THEN 'hors-plage' END AS flag FROM p""")
 def two_pass_concordance(spark, sf_dir):
     from pyspark.sql import Window
 

@@ -58,7 +58,7 @@ def keyword_score(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", GA.pages_of(WEIGHTS, TX.fold("text")).alias("score"))
 
 
-@query("SELECT page_id, (page_id % 3 = 0)::INT * 17 + (page_id % 3 = 1)::INT * 5 + (page_id % 3 = 2)::INT * -4 AS score FROM pages")
+@query("SELECT page_id, (page_id % 3 = 0)::INT * 19 + (page_id % 3 = 1)::INT * 5 + (page_id % 3 = 2)::INT * -4 AS score FROM pages")
 def grid_link_score(spark, sf_dir):
     k = F.col("page_id") % 3
     title = F.when(k == 0, "Grilles des spécifications — règlement de zonage").when(k == 1, "Plan d'urbanisme, annexe : zonage").otherwise("Procès-verbal")
@@ -84,7 +84,7 @@ def document_and_platform(spark, sf_dir):
 
 
 LABELS = ("Séance du 1er octobre 2025", "PV 2025-03-10", "Procès-verbal de mars 2025", "pv-2025_03.pdf", "Sans date", "10 août 2024 (suite)")
-DATES = ("2025-10-01", "2025-03-10", "2025-03", "non-disponible", "non-disponible", "2024-08-10")
+DATES = ("2025-10-01", "2025-03-10", "2025-03", "2025-03", "non-disponible", "2024-08-10")
 
 
 @query(f"SELECT o_orderkey, {list(DATES)}[o_orderkey % 6 + 1] AS date, strftime(o_orderdate, '%Y-%m-%d') AS french, strftime(o_orderdate, '%Y-%m-%d') AS file_date FROM orders")
