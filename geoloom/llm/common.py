@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 
@@ -46,6 +47,15 @@ def written(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(at)
 
 
+def release(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of jobs whose tables are materialised and no longer held.
+
+    Spark's cleaner waits for the driver to collect its garbage, which a quiet driver does rarely.
+    """
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def fresh(name: str, *taken: list[str]) -> str:
     """A column name that none of the given lists holds (in any letter case)."""
     used = {c.lower() for names in taken for c in names}

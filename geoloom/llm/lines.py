@@ -1,6 +1,6 @@
 """Line de-duplication by a deletion-neighbourhood join.
 
-Lines are compared without outer white space and with A-Z lowered.  A line goes
+Lines are compared without outer white space and in lower case.  A line goes
 if an earlier line of the corpus (by doc_id, then position) is equal to it or
 one character edit away; the earliest stays.  Lines without a word stay.
 
@@ -31,22 +31,22 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, fresh
+from .common import cut, fresh, release, written
 from .quality import let
 
 EDITS = 1
-TRIM = r"^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$"
-UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
+#: Outer white space.
+BLANKS = " \t\x0b\x0c\r"
 #: An odd multiplier and its inverse modulo 2**64, for hashes of strings with one character taken out.
 STEP = 0x9E3779B97F4A7C15
 BACK = pow(STEP, -1, 1 << 64)
 
 
 def normal(line: Column) -> Column:
-    return F.translate(F.regexp_replace(line, TRIM, ""), UPPER, LOWER)
+    return F.lower(F.btrim(line, F.lit(BLANKS)))
 
 
 def _lines(docs: DataFrame) -> DataFrame:
@@ -56,11 +56,11 @@ def _lines(docs: DataFrame) -> DataFrame:
 
 
 def _halves(n: Column, line: Column) -> Column:
-    """Keys of which two lines within one edit share one: the shorter length with its first or last half."""
+    """Keys of which two lines within one edit share one: the shorter length with its first or last half (32-bit hashes; a clash costs work, not results)."""
     keys = []
     for m in (n, n - 1):
         k = F.greatest(F.floor(m / 2).cast("int"), F.lit(0))
-        keys += [F.xxhash64(m, F.lit(0), F.substr(line, F.lit(1), k)), F.xxhash64(m, F.lit(1), F.substr(line, n - k + 1, k))]
+        keys += [F.hash(m, F.lit(0), F.substr(line, F.lit(1), k)), F.hash(m, F.lit(1), F.substr(line, n - k + 1, k))]
     return F.array(*keys)
 
 
@@ -104,41 +104,62 @@ def _rows(b: pa.RecordBatch, lot: list[tuple[int, np.ndarray]]) -> pa.RecordBatc
     return pa.RecordBatch.from_arrays([*cols, pa.array(np.concatenate([k for _, k in lot])), pa.array(np.concatenate([np.arange(len(k), dtype=np.int32) for _, k in lot]))], ["id", "doc_id", "pos", "key", "at"])
 
 
-def near_firsts(lines: DataFrame) -> DataFrame:
-    """id of each distinct line (id, doc_id, pos, line) that has a line one edit away at an earlier place."""
+def _candidates(lines: DataFrame) -> DataFrame:
+    """(a, b): ids of lines that share a variant, a at the earlier place; every b with a near earlier line is among them.
+
+    Variants are dealt by key once; windows over a key find its earliest line for
+    each deleted place, and the line that is the key itself.
+    """
     kind = lines.schema["doc_id"].dataType.simpleString()
     var = lines.select("id", "doc_id", "pos", "line").mapInArrow(_emit, f"id bigint, doc_id {kind}, pos int, key bigint, at int")
     place = F.struct("doc_id", "pos", "id")
-    # one substitution: the same key by deleting at the same place; the key's earliest line rules the others out
-    firsts = var.groupBy("key", "at").agg(F.min(place).alias("first"), F.count("*").alias("members"))
-    same = firsts.filter("at > 0 AND members > 1").select("key", "at", F.col("first.id").alias("a"))
-    subs = var.join(same, ["key", "at"]).select("a", F.col("id").alias("b")).filter("a != b")
+    # one substitution: the same key by deleting at the same place; the earliest line rules the others out
+    first = F.min(place).over(Window.partitionBy("key", "at"))
     # one insertion: the shorter line is itself the key
-    whole = var.filter("at = 0").select("key", place.alias("short"))
-    both = var.filter("at > 0").select("key", place.alias("long")).join(whole, "key")
-    early = F.col("short") < F.col("long")
-    ins = both.select(F.when(early, F.col("short.id")).otherwise(F.col("long.id")).alias("a"), F.when(early, F.col("long.id")).otherwise(F.col("short.id")).alias("b"))
-    pairs = cut(subs.union(ins).distinct())
+    short = F.min(F.when(F.col("at") == 0, place)).over(Window.partitionBy("key"))
+    met = var.withColumn("short", short).withColumn("first", first).filter("at > 0 AND (short IS NOT NULL OR first.id != id)")
+    early = F.col("short") < place
+    subs = F.when(F.col("first.id") != F.col("id"), F.struct(F.col("first.id").alias("a"), F.col("id").alias("b")))
+    ins = F.when(F.col("short").isNotNull(), F.when(early, F.struct(F.col("short.id").alias("a"), F.col("id").alias("b"))).otherwise(F.struct(F.col("id").alias("a"), F.col("short.id").alias("b"))))
+    return met.select(F.explode(F.array_compact(F.array(subs, ins))).alias("p")).select("p.a", "p.b").distinct()
+
+
+def near_firsts(lines: DataFrame) -> DataFrame:
+    """id of each distinct line (id, doc_id, pos, line) that has a line one edit away at an earlier place."""
+    pairs = cut(_candidates(lines))
     left, right = lines.select(F.col("id").alias("a"), F.col("line").alias("line_a")), lines.select(F.col("id").alias("b"), F.col("line").alias("line_b"))
     true = pairs.join(left, "a").join(right, "b").filter(F.levenshtein("line_a", "line_b", EDITS) >= 0)
     return true.select(F.col("b").alias("id")).distinct()
 
 
-def kept_places(docs: DataFrame) -> DataFrame:
-    """doc_id, places (sorted positions of the lines with a word that stay)."""
-    some = docs.select("doc_id", "text").filter("text IS NOT NULL")
+def _first_places(some: DataFrame) -> DataFrame:
+    """id, doc_id, pos, keys of every distinct line, at its first place."""
     n = F.length("line")
     own = _lines(some).select(F.xxhash64("line").alias("id"), n.alias("n"), "doc_id", "pos", _halves(n, F.col("line")).alias("keys"))
     firsts = own.groupBy("id", "n").agg(F.min(F.struct("doc_id", "pos", "keys")).alias("best"))
-    firsts = cut(firsts.select("id", "best.*"))
+    return written(firsts.select("id", "best.*"), "lines")
+
+
+def _suspects(some: DataFrame, firsts: DataFrame) -> DataFrame:
+    """id, doc_id, pos, line of the distinct lines that share a half with another one."""
     keyed = firsts.select("id", F.explode("keys").alias("key"))
-    shared = keyed.groupBy("key").agg(F.count("*").alias("members")).filter("members > 1").select("key")
-    suspects = keyed.join(shared, "key", "left_semi").select("id").distinct()
+    shared = keyed.withColumn("members", F.count("*").over(Window.partitionBy("key"))).filter("members > 1").select("id").distinct()
     # the first places of these lines are read again, with their text
-    wanted = firsts.join(suspects, "id", "left_semi").select("id", F.col("doc_id").alias("at_doc"), "pos")
+    wanted = firsts.join(shared, "id", "left_semi").select("id", F.col("doc_id").alias("at_doc"), "pos")
     texts = some.join(wanted, F.col("doc_id").eqNullSafe(F.col("at_doc")))
     near = texts.select("id", "doc_id", "pos", normal(F.get(F.split("text", "\n"), F.col("pos"))).alias("line")).filter(F.xxhash64("line") == F.col("id")).dropDuplicates(["id"])
-    gone = near_firsts(cut(near))
+    return written(near, "near-lines")
+
+
+def kept_places(docs: DataFrame) -> DataFrame:
+    """doc_id, places (sorted positions of the lines with a word that stay)."""
+    some = docs.select("doc_id", "text").filter("text IS NOT NULL")
+    firsts = _first_places(some)
+    release(docs.sparkSession)
+    near = _suspects(some, firsts)
+    release(docs.sparkSession)
+    gone = cut(near_firsts(near))
+    release(docs.sparkSession)
     return firsts.join(gone, "id", "left_anti").groupBy("doc_id").agg(F.sort_array(F.collect_list("pos")).alias("places"))
 
 

@@ -70,12 +70,12 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in own}
 
 
-# Lines: trimmed of white space, lower-cased in A-Z; place = (doc_id, position).
+# Lines: trimmed of white space, in lower case; place = (doc_id, position).
 OP7_SQL = r"""
 WITH raw AS (
   SELECT doc_id, unnest(string_split(text, chr(10))) AS raw, generate_subscripts(string_split(text, chr(10)), 1) AS pos FROM documents WHERE text IS NOT NULL
 ), lines AS (
-  SELECT doc_id, pos, raw, translate(regexp_replace(raw, '^[\x20\x09-\x0D]+|[\x20\x09-\x0D]+$', '', 'g'), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS line FROM raw
+  SELECT doc_id, pos, raw, lower(trim(raw, concat(' ', chr(9), chr(11), chr(12), chr(13)))) AS line FROM raw
 ), firsts AS (
   SELECT line, min((doc_id, pos)) AS place, length(line) AS n FROM lines WHERE line <> '' GROUP BY line
 ), gone AS (
