@@ -30,6 +30,7 @@ import hashlib
 import json
 import unicodedata
 from collections.abc import Iterator
+from itertools import accumulate
 
 import pyarrow as pa
 import regex
@@ -221,7 +222,7 @@ class Codec:
     """Whole texts: normalisation, pre-tokenisation, and a bounded memory of chunks met before."""
 
     #: Chunks remembered in each of two generations; words likewise.
-    KEEP = 300_000
+    KEEP = 200_000
 
     def __init__(self, path: str):
         self.m = Merges(path)
@@ -232,6 +233,11 @@ class Codec:
         self.old_words: dict[str, tuple[bytes, bytes]] = {}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.m.special)) + ")") if self.m.special else None
 
+    def forget(self) -> None:
+        """Empty the memory of chunks and words; an idle worker then holds the vocabulary only."""
+        for known in (self.young, self.old, self.words, self.old_words, self.m.known):
+            known.clear()
+
     def _word(self, word: str) -> tuple[bytes, bytes]:
         """ids as little-endian 32-bit numbers, and spelling, of a pre-token."""
         got = self.words.get(word) or self.old_words.get(word)
@@ -284,6 +290,12 @@ class Codec:
         raw = b"".join([p[0] for lot in self.pieces(text) for p in lot])
         return [int.from_bytes(raw[i : i + 4], "little") for i in range(0, len(raw), 4)]
 
+    def lists(self, texts: list[str | None]) -> pa.ListArray:
+        """The ids of many texts, without a Python number for each."""
+        raw = [b"".join([p[0] for lot in self.pieces(t) for p in lot]) for t in texts]
+        ends = list(accumulate((len(r) // 4 for r in raw), initial=0))
+        return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(raw))]))
+
     def decode(self, ids: list[int]) -> str:
         return "".join(self.decoder.spelled(ids))
 
@@ -314,16 +326,23 @@ def codec(path: str) -> Codec:
 def encoded(docs: DataFrame, path: str, ids: bool = False) -> DataFrame:
     """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row's whole text (and ``ids`` if asked for)."""
 
+    def digests(b: pa.RecordBatch, c: Codec) -> pa.RecordBatch:
+        got = list(zip(*map(c.digest, b.column(1).to_pylist()))) or [(), (), ()]
+        out = [b.column(0), pa.array(got[0], pa.int64()), pa.array(got[1], pa.string()), pa.array(got[2], pa.string())]
+        names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+        if ids:
+            out.append(c.lists(b.column(1).to_pylist()))
+            names.append("ids")
+        return pa.RecordBatch.from_arrays(out, names)
+
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         c = codec(path)
-        for b in batches:
-            got = list(zip(*map(c.digest, b.column(1).to_pylist()))) or [(), (), ()]
-            out = [b.column(0), pa.array(got[0], pa.int64()), pa.array(got[1], pa.string()), pa.array(got[2], pa.string())]
-            names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
-            if ids:
-                out.append(pa.array([c.encode(t) for t in b.column(1).to_pylist()], pa.list_(pa.int32())))
-                names.append("ids")
-            yield pa.RecordBatch.from_arrays(out, names)
+        try:
+            for whole in batches:
+                for at in range(0, max(1, whole.num_rows), 1024):
+                    yield digests(whole.slice(at, 1024), c)
+        finally:
+            c.forget()
 
     got = docs.select("doc_id", "text")
     kind = got.schema["doc_id"].dataType.simpleString()
