@@ -132,7 +132,7 @@ def first_tag(c, tag: str) -> Column:
 
 
 def all_tags(c, tag: str) -> Column:
-    return F.filter(F.transform(F.regexp_extract_all(col(c), F.lit(f"(?is)<{tag}[^>]*>(.*?)</{tag}>"), F.lit(1)), F.trim), lambda x: x != "")
+    return F.filter(F.transform(F.regexp_extract_all(col(c), F.lit(f"(?is)<{tag}[^>]*>(.*?)</{tag}>"), F.lit(1)), lambda x: F.trim(x)), lambda x: x != "")
 
 
 def site_of(url) -> Column:

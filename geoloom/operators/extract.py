@@ -32,7 +32,7 @@ def located_pages(docs: DataFrame, key: str, text: str, breaker: str, pattern: s
 
 def caption_text(c) -> Column:
     """Captions to text: headers, cue times, counters and tags go; each line once."""
-    lines = F.transform(F.split(F.regexp_replace(col(c), "<[^>]+>", ""), r"\r?\n"), F.trim)
+    lines = F.transform(F.split(F.regexp_replace(col(c), "<[^>]+>", ""), r"\r?\n"), lambda x: F.trim(x))
     keep = F.filter(lines, lambda x: (x != "") & ~x.rlike(r"^\d+$|-->|^WEBVTT|^NOTE\b|^(?:Kind|Language):"))
     return F.array_join(F.array_distinct(keep), " ")
 
@@ -112,7 +112,7 @@ def zoning_change(text: pd.Series) -> pd.DataFrame:
 def markdown_rows(pages: DataFrame, key: str, text: str) -> DataFrame:
     """key, table line number, cells of every line of a pipe table (rules between lines left out)."""
     lines = pages.select(key, F.posexplode(F.split(text, r"\r?\n")).alias("line", "raw")).filter(F.col("raw").rlike(r"^\s*\|.*\|\s*$") & ~F.col("raw").rlike(r"^[\s|:-]+$"))
-    cells = F.transform(F.split(F.regexp_replace(F.trim("raw"), r"^\||\|$", ""), r"\|"), F.trim)
+    cells = F.transform(F.split(F.regexp_replace(F.trim("raw"), r"^\||\|$", ""), r"\|"), lambda x: F.trim(x))
     return lines.select(key, "line", cells.alias("cells"))
 
 

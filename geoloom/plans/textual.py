@@ -136,7 +136,9 @@ def context_window_detector(spark, sf_dir):
     return table(spark, sf_dir, "documents").select("doc_id", X.zoning_change(F.when(k % 2 == 0, text).otherwise(F.col("text"))).alias("z")).select("doc_id", "z.*")
 
 
-@query()
+@query("""WITH r AS (SELECT p_partkey, p_size AS s, unnest(['H-1', 'C-2']) AS zone_code FROM part WHERE p_size > 0), f AS (SELECT *, unnest(['marge_avant_min', 'hauteur_etages']) AS field FROM r),
+c AS (SELECT *, CASE WHEN field = 'hauteur_etages' THEN CASE WHEN zone_code = 'H-1' THEN '2' ELSE (s % 9)::VARCHAR END WHEN zone_code = 'H-1' THEN s || ' m' ELSE 'Note 5' END AS raw FROM f)
+SELECT p_partkey, zone_code, field, raw, CASE WHEN raw = 'Note 5' THEN NULL WHEN field = 'hauteur_etages' THEN raw::DOUBLE ELSE s::DOUBLE END AS value, CASE WHEN field = 'marge_avant_min' AND zone_code = 'H-1' THEN 'm' END AS unit FROM c""")
 def grid_pages(spark, sf_dir):
     """Markdown grids built from parts: zones in columns, one row a field; to one row for each zone and field."""
     p = table(spark, sf_dir, "part").filter("p_size > 0").select("p_partkey", F.concat(F.lit("| Norme | H-1 | C-2 |\n|---|---|---|\n| Marge avant min. | "), F.col("p_size").cast("string"), F.lit(" m | Note 5 |\n| Hauteur max. en étages | 2 | "), (F.col("p_size") % 9).cast("string"), F.lit(" |\n")).alias("page"))
