@@ -22,7 +22,8 @@ from pyspark.sql import functions as F
 
 from .common import SPACE, cut, written
 
-MEASURES = {"symbol_share": 0.10, "dup_line_share": 0.30, "repeat_share": 0.15, "mean_word": 3.0}
+#: Measures, with the slack of their thresholds.
+MEASURES = {"symbol_share": 0.10, "dup_line_share": 0.30, "repeat_share": 0.20, "stutter_share": 0.20, "mean_word": 3.0}
 REACH, LEAST_ROWS, SKETCH = 6.0, 30, 4096
 
 
@@ -74,14 +75,17 @@ def measured(docs: DataFrame, *keep: str) -> DataFrame:
         (F.size("q_lines") - F.size(F.array_distinct("q_lines"))).cast("long").alias("n_dup_lines"),
         F.size("q_lines").alias("q_n_lines"),
         repeat_words(F.col("q_words")).alias("n_repeat_words"),
+        let(F.col("q_words"), lambda w: F.size(F.filter(w, lambda x, i: x == F.get(w, i - 1)))).alias("q_stutter"),
     )
     n = F.greatest(F.col("n_words"), F.lit(1))
     return rows.select(
         *keep, "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words",
         ((F.col("n_words") < 10) | (100 * F.col("n_repeat_words") > 20 * F.col("n_words"))).alias("base_failed"),
         (F.col("n_symbols") / n).alias("symbol_share"),
-        (F.col("n_dup_lines") / F.greatest("q_n_lines", F.lit(1))).alias("dup_line_share"),
+        # a few lines more in the divisor: one repeated line of three is no pattern yet
+        (F.col("n_dup_lines") / (F.col("q_n_lines") + 5)).alias("dup_line_share"),
         (F.col("n_repeat_words") / n).alias("repeat_share"),
+        (F.col("q_stutter") / n).alias("stutter_share"),
         (F.col("word_chars") / n).alias("mean_word"),
     )
 
