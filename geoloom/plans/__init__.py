@@ -4,7 +4,7 @@ from __future__ import annotations
 
 
 def _load() -> None:
-    from . import spatial, tabular, textual  # noqa: F401
+    from . import signals, spatial, tabular, textual  # noqa: F401
 
 
 def queries() -> dict:
