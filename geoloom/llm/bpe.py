@@ -31,7 +31,9 @@ import json
 import unicodedata
 from collections.abc import Iterator
 from itertools import accumulate
+from struct import pack
 
+import numpy as np
 import pyarrow as pa
 import regex
 from pyspark.sql import DataFrame
@@ -110,6 +112,9 @@ class Merges:
                 latest, right = right + 1, b[0]
 
 
+HEAD = 5
+
+
 class Encoder:
     """Incremental encoder of one word's symbols: feed() returns tokens that no later symbol can change."""
 
@@ -119,10 +124,23 @@ class Encoder:
         self.last: list[int] = []  # last token of the prefix that ends at each window position
         self.size: list[int] = []  # and its length
         self.held = False  # whether the window begins with a token that is emitted already
+        #: States after beginnings of HEAD symbols, which many words share.
+        self.heads: dict[str, tuple[list[int], list[int]]] = {}
 
     def feed(self, symbols: str) -> list[int]:
         out: list[int] = []
         step = 2 * self.m.reach
+        if not self.last and len(symbols) > HEAD:
+            head = symbols[:HEAD]
+            known = self.heads.get(head)
+            if known is None:
+                self._read(head)
+                if len(self.heads) >= 100_000:
+                    self.heads.clear()
+                self.heads[head] = (self.last.copy(), self.size.copy())
+            else:
+                self.back, self.last, self.size = head, known[0].copy(), known[1].copy()
+            symbols = symbols[HEAD:]
         for at in range(0, len(symbols), step):
             self._read(symbols[at : at + step])
             if len(self.last) > step:
@@ -221,78 +239,84 @@ _ODD = regex.compile(r"[\x1c-\x1f]")
 class Codec:
     """Whole texts: normalisation, pre-tokenisation, and a bounded memory of chunks met before."""
 
-    #: Chunks remembered in each of two generations; words likewise.
-    KEEP = 200_000
+    #: Chunks remembered in each of two generations, words likewise; and the first chunks met, mostly the common ones, that outlast a task.
+    KEEP, FIRST = 300_000, 60_000
 
     def __init__(self, path: str):
         self.m = Merges(path)
         self.decoder = Decoder(self.m)
-        self.young: dict[str, tuple[bytes, bytes]] = {}
-        self.old: dict[str, tuple[bytes, bytes]] = {}
-        self.words: dict[str, tuple[bytes, bytes]] = {}
-        self.old_words: dict[str, tuple[bytes, bytes]] = {}
+        self.spelling = np.array([self.m.names[i].encode("utf-8") for i in range(max(self.m.names) + 1)], object)
+        self.encoder = Encoder(self.m)
+        self.first: dict[str, bytes] = {}
+        self.young: dict[str, bytes] = {}
+        self.old: dict[str, bytes] = {}
+        self.words: dict[str, bytes] = {}
+        self.old_words: dict[str, bytes] = {}
         self.cut = regex.compile("(" + "|".join(map(regex.escape, self.m.special)) + ")") if self.m.special else None
 
     def forget(self) -> None:
-        """Empty the memory of chunks and words; an idle worker then holds the vocabulary only."""
+        """Empty the memory but for the first chunks; an idle worker then holds little more than the vocabulary."""
         for known in (self.young, self.old, self.words, self.old_words, self.m.known):
             known.clear()
 
-    def _word(self, word: str) -> tuple[bytes, bytes]:
-        """ids as little-endian 32-bit numbers, and spelling, of a pre-token."""
+    def _word(self, word: str) -> bytes:
+        """ids of a pre-token as little-endian 32-bit numbers."""
         got = self.words.get(word) or self.old_words.get(word)
         if got is None:
-            ids = encode_word(self.m, word.encode("utf-8", "surrogatepass"))
-            got = (b"".join([i.to_bytes(4, "little") for i in ids]), "".join(self.decoder.spelled(ids)).encode("utf-8"))
+            raw = word.encode("utf-8", "surrogatepass")
+            ids = self.encoder.feed(raw[:-1].decode("latin-1") + chr(raw[-1] + 256)) + self.encoder.finish()
+            got = pack(f"<{len(ids)}I", *ids)
         if len(word) <= 64:
             if len(self.words) >= self.KEEP:
                 self.old_words, self.words = self.words, {}
             self.words[word] = got
         return got
 
-    def _new(self, chunk: str) -> tuple[bytes, bytes]:
+    def _new(self, chunk: str) -> bytes:
         got = self.young.get(chunk)
         if got is not None:
             return got
         got = self.old.get(chunk)
         if got is None:
-            parts = [self._word(w) for w in self.m.split.findall(chunk)]
-            got = parts[0] if len(parts) == 1 else (b"".join([p[0] for p in parts]), b" ".join([p[1] for p in parts]))
+            parts = self.m.split.findall(chunk)
+            got = self._word(parts[0]) if len(parts) == 1 else b"".join([self._word(w) for w in parts])
         if len(chunk) <= 64:
-            if len(self.young) >= self.KEEP:
-                self.old, self.young = self.young, {}
-            self.young[chunk] = got
+            if len(self.first) < self.FIRST:
+                self.first[chunk] = got
+            else:
+                if len(self.young) >= self.KEEP:
+                    self.old, self.young = self.young, {}
+                self.young[chunk] = got
         return got
 
-    def _plain(self, text: str) -> Iterator[list[tuple[bytes, bytes]]]:
+    def _plain(self, text: str) -> Iterator[bytes]:
         if not text.isascii():
             text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
         text = text.lower()
         chunks = regex.split(r"\s+", text) if _ODD.search(text) else text.split()
-        new = self._new
+        first, new = self.first.get, self._new
         for at in range(0, len(chunks), 65536):
             known = self.young.get
-            yield [known(c) or new(c) for c in chunks[at : at + 65536]]
+            yield b"".join([first(c) or known(c) or new(c) for c in chunks[at : at + 65536]])
 
-    def pieces(self, text: str | None) -> Iterator[list[tuple[bytes, bytes]]]:
-        """(ids as little-endian 32-bit numbers, spelling) of each blank-separated chunk, in lots of bounded size."""
+    def pieces(self, text: str | None) -> Iterator[bytes]:
+        """ids of the text as little-endian 32-bit numbers, in lots of bounded size."""
         text = text or ""
         if self.cut is None or "<|" not in text:
             yield from self._plain(text)
             return
         for part in self.cut.split(text):
             if part in self.m.special:
-                yield [(self.m.special[part].to_bytes(4, "little"), part.encode())]
+                yield pack("<I", self.m.special[part])
             else:
                 yield from self._plain(part)
 
     def encode(self, text: str | None) -> list[int]:
-        raw = b"".join([p[0] for lot in self.pieces(text) for p in lot])
-        return [int.from_bytes(raw[i : i + 4], "little") for i in range(0, len(raw), 4)]
+        return np.frombuffer(b"".join(self.pieces(text)), "<u4").tolist()
 
     def lists(self, texts: list[str | None]) -> pa.ListArray:
         """The ids of many texts, without a Python number for each."""
-        raw = [b"".join([p[0] for lot in self.pieces(t) for p in lot]) for t in texts]
+        raw = [b"".join(self.pieces(t)) for t in texts]
         ends = list(accumulate((len(r) // 4 for r in raw), initial=0))
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(raw))]))
 
@@ -301,15 +325,14 @@ class Codec:
 
     def digest(self, text: str | None) -> tuple[int, str, str]:
         """Number of tokens, SHA-256 of the ids and of the decoded text; both streams are hashed as they come."""
-        ids, spelled, n, first = hashlib.sha256(), hashlib.sha256(), 0, True
-        for lot in self.pieces(text):
-            raw = b"".join([p[0] for p in lot])
-            line = b" ".join([p[1] for p in lot if p[0]])
-            n += len(raw) // 4
-            ids.update(raw)
-            if line:
-                spelled.update(line if first else b" " + line)
-                first = False
+        ids, spelled, n, spelling = hashlib.sha256(), hashlib.sha256(), 0, self.spelling
+        for raw in self.pieces(text):
+            if raw:
+                ids.update(raw)
+                # the lot's ids are decoded again: spellings with a blank between
+                line = b" ".join(spelling[np.frombuffer(raw, "<u4")].tolist())
+                spelled.update(b" " + line if n else line)
+                n += len(raw) // 4
         return n, ids.hexdigest(), spelled.hexdigest()
 
 
