@@ -119,7 +119,7 @@ def clusters(points: DataFrame, x: str, y: str, value: str, radius: float) -> Da
 
 def dominant(df: DataFrame, key: str, least: int, share: float) -> DataFrame:
     """The rows of the one key that has at least ``least`` rows and that share of all rows; all rows where none has."""
-    total = df.agg(F.count("*").alias("t"))
-    best = df.groupBy(key).agg(F.count("*").alias("n")).join(F.broadcast(total)).filter((F.col("n") >= least) & (F.col("n") >= share * F.col("t"))).select(F.col(key).alias("dom_key"))
-    count = best.agg(F.count("*").alias("dom_n"), F.min("dom_key").alias("dom_key"))
-    return df.join(F.broadcast(count)).filter((F.col("dom_n") == 0) | (F.col(key) == F.col("dom_key"))).drop("dom_n", "dom_key")
+    total = df.agg(F.count("*")).scalar()
+    n = df.groupBy(key).agg(F.count("*").alias("n")).select("*", total.alias("t"))
+    best = n.filter((F.col("n") >= least) & (F.col("n") >= share * F.col("t"))).agg(F.min(key)).scalar()  # one value, missing where none has
+    return df.filter(best.isNull() | (F.col(key) == best))

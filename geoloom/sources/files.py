@@ -101,16 +101,16 @@ def raw_documents(df: DataFrame, source: str, body: str, content_type: str) -> D
 
 def inferred_types(rows: DataFrame, entries: str) -> DataFrame:
     """key, type of scalar cells (map of JSON text values): text if any is text, else boolean if all are, else double if any is fractional or missing, else long."""
-    n = rows.agg(F.count("*").alias("all_rows"))
+    total = rows.agg(F.count("*")).scalar()
     cells = rows.select(F.explode(entries).alias("key", "value"))
     null = F.col("value").isNull() | (F.col("value") == "null")
     number, logic = F.col("value").rlike(r"^-?\d+(\.\d+)?([eE][+-]?\d+)?$"), F.col("value").isin("true", "false")
     got = cells.groupBy("key").agg(F.count_if(~null).alias("held"), F.count_if(~null & ~number & ~logic).alias("texts"), F.count_if(~null & logic).alias("logics"), F.count_if(~null & number & F.col("value").rlike(r"[.eE]")).alias("fractions"))
     kind = (
         F.when((F.col("held") == 0) | (F.col("texts") > 0), "STRING").when(F.col("logics") == F.col("held"), "BOOLEAN").when(F.col("logics") > 0, "STRING")
-        .when((F.col("fractions") > 0) | (F.col("held") < F.col("all_rows")), "DOUBLE").otherwise("BIGINT")
+        .when((F.col("fractions") > 0) | (F.col("held") < total), "DOUBLE").otherwise("BIGINT")
     )
-    return got.join(F.broadcast(n)).select("key", kind.alias("type"))
+    return got.select("key", kind.alias("type"))
 
 
 LOT_INDEX = T.StructType([*[T.StructField(c, T.StringType()) for c in ("feature_id", "no_lot", "code_zone", "role_usage_cubf")], *[T.StructField(c, T.DoubleType()) for c in ("role_valeur_terrain", "role_valeur_batiment", "role_valeur_totale", "superficie_m2", "frontage_m")], *[T.StructField(c, T.StringType()) for c in ("_source", "_snapshot")]])
