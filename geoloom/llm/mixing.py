@@ -44,8 +44,8 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None = None) -> Da
         given = docs.sparkSession.createDataFrame([("" if k is None else "=" + k, float(v)) for k, v in weights.items()], "mix_source string, w double")
         weighted = counts.join(given, "mix_source", "left").na.fill(0.0, ["w"])
     weighted = cut(weighted)
-    total = weighted.agg(F.sum("n").alias("all_n"), F.sum("w").alias("all_w"))
-    mean = weighted.crossJoin(F.broadcast(total)).select("mix_source", F.when(F.col("all_w") > 0, F.col("w") * F.col("all_n") / (F.col("all_w") * F.col("n"))).otherwise(0.0).alias("mean"))
+    total = weighted.agg(F.struct(F.sum("n").alias("n"), F.sum("w").alias("w"))).scalar()  # one row: a scalar subquery
+    mean = weighted.select("mix_source", F.when(total["w"] > 0, F.col("w") * total["n"] / (total["w"] * F.col("n"))).otherwise(0.0).alias("mean"))
     most = F.ceil(F.col("mean") + 12 * F.sqrt("mean") + 40).cast("int")
     start = F.struct(F.lit(0.0).alias("log"), F.lit(0.0).alias("sum"), F.array().cast("array<double>").alias("cdf"))
 

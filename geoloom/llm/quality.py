@@ -104,8 +104,9 @@ def thresholds(rows: DataFrame) -> DataFrame:
     own = bounds(sketches, "q_lang", "q_source", mark="own")
     lang = bounds(sketches.groupBy("q_lang").agg(*merge), "q_lang", mark="lang")
     every = bounds(sketches.agg(*merge), mark="all")
-    joined = own.join(lang, "q_lang").join(every.withColumn("q_one", F.lit(1)), F.lit(1) == F.col("q_one"))
-    pick = lambda m: F.when(F.col("n_own") >= LEAST_ROWS, F.col(f"{m}_own")).when(F.col("n_lang") >= LEAST_ROWS, F.col(f"{m}_lang")).otherwise(F.col(f"{m}_all"))
+    total = every.select(F.struct(*[f"{m}_all" for m in MEASURES])).scalar()  # one row: a scalar subquery
+    joined = own.join(lang, "q_lang")
+    pick = lambda m: F.when(F.col("n_own") >= LEAST_ROWS, F.col(f"{m}_own")).when(F.col("n_lang") >= LEAST_ROWS, F.col(f"{m}_lang")).otherwise(total[f"{m}_all"])
     return cut(joined.select("q_lang", "q_source", *[pick(m).alias(f"{m}_most") for m in MEASURES]))
 
 
