@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from .text import canon_raw, col, fold, js_number
+from .text import canon_raw, col, fold, js_number, let
 
 MISSING = "non-disponible"
 # French month names, and their folded spellings.
@@ -180,23 +180,34 @@ def gated(value, structural, low, high, fits) -> Column:
     return F.struct(F.when(publish, v).alias("value"), confidence.alias("confidence"), F.when(~publish, F.when(v.isNull(), "absent").otherwise("a-verifier")).alias("flag"))
 
 
-def concord_key(c, fallback=None) -> Column:
-    """What a cell means, for comparing two readings: value and unit, else its text; ∅ where there is none."""
-    raw, m = col(c), measure(c, fallback)
+def _meaning(raw: Column, m: Column) -> Column:
     text = F.when(m["value"].isNull(), F.concat(F.lit("txt:"), canon_raw(raw))).otherwise(F.concat(js_number(m["value"]), F.lit(":"), F.coalesce(m["unit"], F.lit("?"))))
     return F.when(raw.isNull() | (F.trim(raw) == "") | m["absent"], F.lit("∅")).otherwise(text)
 
 
+def concord_key(c, fallback=None) -> Column:
+    """What a cell means, for comparing two readings: value and unit, else its text; ∅ where there is none."""
+    return let(measure(c, fallback), lambda m: _meaning(col(c), m))
+
+
 def two_readings(a, b, meaning, low, high, fallback=None) -> Column:
     """Two independent readings of a cell → value, confidence, flag: they must mean the same, hold a number, fit the column and its range."""
-    raw = F.coalesce(col(a), col(b), F.lit(""))
-    m = measure(raw, fallback)
-    flag = (
-        F.when(concord_key(a, fallback) != concord_key(b, fallback), "divergence-2-passes").when(m["absent"], "absent").when(m["value"].isNull(), "non-numerique")
-        .when(~unit_fits(meaning, m["unit"]), "unite-incoherente").when(~m["value"].between(col(low), col(high)), "hors-plage")
-    )
-    confidence = F.when(flag.isNull() | (flag == "absent"), VISION).otherwise(0.0)
-    return F.struct(F.when(flag.isNull(), m["value"]).alias("value"), confidence.alias("confidence"), flag.alias("flag"))
+    left, right = col(a), col(b)
+
+    def judged(both: Column) -> Column:
+        ma, mb = both["a"], both["b"]
+        own = lambda k: F.when(left.isNotNull(), ma[k]).otherwise(mb[k])
+        return (
+            F.when(_meaning(left, ma) != _meaning(right, mb), "divergence-2-passes").when(F.coalesce(own("absent"), F.lit(True)), "absent").when(own("value").isNull(), "non-numerique")
+            .when(~unit_fits(meaning, own("unit")), "unite-incoherente").when(~own("value").between(col(low), col(high)), "hors-plage")
+        )
+
+    def result(both: Column) -> Column:
+        value = F.when(left.isNotNull(), both["a"]["value"]).otherwise(both["b"]["value"])
+        shape = lambda flag: F.struct(F.when(flag.isNull(), value).alias("value"), F.when(flag.isNull() | (flag == "absent"), VISION).otherwise(0.0).alias("confidence"), flag.alias("flag"))
+        return let(judged(both), shape)
+
+    return let(F.struct(measure(left, fallback).alias("a"), measure(right, fallback).alias("b")), result)
 
 
 def value_in_raw(value, raw) -> Column:

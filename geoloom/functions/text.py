@@ -28,6 +28,11 @@ def col(c: str | Column) -> Column:
     return F.col(c) if isinstance(c, str) else c
 
 
+def let(value: Column, body) -> Column:
+    """body(value), with value evaluated once for a row however often the body names it."""
+    return F.get(F.transform(F.array(value), lambda v: body(v)), 0)
+
+
 def squish(c) -> Column:
     """White space, no-break space included, to single blanks; ends trimmed."""
     return F.trim(F.regexp_replace(col(c), SPACES, " "))
