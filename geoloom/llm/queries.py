@@ -103,6 +103,36 @@ SELECT doc_id, source, copies, copy_no, substr(md5('7:' || coalesce(doc_id::VARC
 """
 
 
+def _bound(m: str, slack: float, mark: str) -> str:
+    """Median + REACH * (median - lower quartile) + slack; the sketches are exact up to their size, as quantile_disc is."""
+    return f"quantile_disc({m}, 0.5) + {quality.REACH} * (quantile_disc({m}, 0.5) - quantile_disc({m}, 0.25)) + {slack} AS {m}_{mark}"
+
+
+def op4_sql() -> str:
+    """Words, windows of five words and lines of every text; thresholds by group, language and all (exact while no group outgrows a sketch)."""
+    space = r"[\x20\x09-\x0D]"
+    measures = quality.MEASURES.items()
+    bounds = lambda mark: ", ".join(_bound(m, slack, mark) for m, slack in measures)
+    least = quality.LEAST_ROWS
+    fine = " AND ".join(f"m.{m} <= CASE WHEN n_own >= {least} THEN {m}_own WHEN n_lang >= {least} THEN {m}_lang ELSE {m}_all END" for m, _ in measures)
+    return rf"""
+WITH d AS (SELECT row_number() OVER () AS r, doc_id, lang, source, coalesce(text, '') AS text, list_filter(string_split_regex(coalesce(text, ''), '{space}+'), lambda x: x <> '') AS w FROM documents),
+pos AS (SELECT r, unnest(range(1, len(w) - 3)) AS i, w FROM d WHERE len(w) >= 5),
+win AS (SELECT r, i, array_to_string(w[i : i + 4], ' ') AS g FROM pos),
+twice AS (SELECT r, i FROM (SELECT r, i, count(*) OVER (PARTITION BY r, g) AS n FROM win) WHERE n > 1),
+rep AS (SELECT r, count(DISTINCT j) AS n FROM (SELECT r, unnest(range(i, i + 5)) AS j FROM twice) GROUP BY r),
+ln AS (SELECT r, list_filter(string_split(text, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l FROM d),
+m0 AS (SELECT d.r, doc_id, lang, source, len(w) AS n_words, coalesce(length(array_to_string(w, '')), 0) AS word_chars, len(regexp_extract_all(text, '[#*$%&|<>]')) AS n_symbols,
+  len(l) - len(list_distinct(l)) AS n_dup_lines, len(l) AS n_lines, coalesce(rep.n, 0) AS n_repeat_words, len(list_filter(range(2, len(w) + 1), lambda i: w[i] = w[i - 1])) AS n_stutter
+  FROM d JOIN ln USING (r) LEFT JOIN rep USING (r)),
+m AS (SELECT *, n_words < 10 OR 100 * n_repeat_words > 20 * n_words AS base_failed, n_symbols::DOUBLE / greatest(n_words, 1) AS symbol_share, n_dup_lines::DOUBLE / (n_lines + 5) AS dup_line_share,
+  n_repeat_words::DOUBLE / greatest(n_words, 1) AS repeat_share, n_stutter::DOUBLE / greatest(n_words, 1) AS stutter_share, word_chars::DOUBLE / greatest(n_words, 1) AS mean_word FROM m0),
+own AS (SELECT lang, source, count(*) AS n_own, {bounds('own')} FROM m GROUP BY lang, source), lg AS (SELECT lang, count(*) AS n_lang, {bounds('lang')} FROM m GROUP BY lang), al AS (SELECT {bounds('all')} FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND {fine} AS kept
+FROM m JOIN own ON m.lang IS NOT DISTINCT FROM own.lang AND m.source IS NOT DISTINCT FROM own.source JOIN lg ON m.lang IS NOT DISTINCT FROM lg.lang, al
+"""
+
+
 def oracle_sql() -> dict[str, str]:
-    """Queries 1, 2, 3, 5, 6, 9, 10 and the pipeline hold trained models, hashes or encodings that SQL lacks; 4 holds sketches."""
-    return {"op7_line_dedup": OP7_SQL, "op8_mixing": OP8_SQL}
+    """Queries 1, 2, 3, 5, 6, 9, 10 and the pipeline hold trained models, hashes or encodings that SQL lacks."""
+    return {"op4_quality": op4_sql(), "op7_line_dedup": OP7_SQL, "op8_mixing": OP8_SQL}

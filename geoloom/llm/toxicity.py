@@ -11,7 +11,7 @@ A text's score is a logistic function of its windows' largest logit, the mean of
 its three largest, and how many windows are suspect.
 
 The labelled rows for training are bounded: ``MOST`` of each label, those with
-the smallest hash of the id, never rows held out.  Only text is an input of a
+the smallest hash of the id, never rows held out, no text beyond ``MOST_CHARS``.  Only text is an input of a
 score; label, lang, source and id are not.
 
 Edge cases: a null or empty text has one empty window and gets a score like any
@@ -32,8 +32,8 @@ from .common import remainder
 
 WINDOW, STRIDE, HIDDEN, INPUTS, LANES = 48, 24, 8, 10, 4096
 WORD_BITS, GRAM_BITS, GRAMS = 18, 19, (3, 5, 7)
-#: Labelled rows of each label that training may use.
-MOST = 3000
+#: Labelled rows of each label that training may use, and the longest text among them (scoring knows no such bound).
+MOST, MOST_CHARS = 3000, 20_000
 SEED = 5
 STRIP = b".,;:!?\"'()[]{}*#$%&|<>-_/+=~"
 
@@ -292,7 +292,8 @@ def training_rows(docs: DataFrame, labels: DataFrame, held: int = 1, folds: int
     parts = [own.filter(F.col("y") == k).orderBy(F.xxhash64("doc_id"), "doc_id").limit(most) for k in (0, 1)]
     chosen = parts[0].union(parts[1])
     # at most 2 * most ids: a bound that does not grow with the data
-    got = docs.select("doc_id", "text").join(F.broadcast(chosen.withColumnRenamed("doc_id", "chosen_id")), F.col("doc_id") == F.col("chosen_id")).select("doc_id", "text", "y")
+    some = docs.select("doc_id", "text").filter(F.coalesce(F.length("text"), F.lit(0)) <= MOST_CHARS)
+    got = some.join(F.broadcast(chosen.withColumnRenamed("doc_id", "chosen_id")), F.col("doc_id") == F.col("chosen_id")).select("doc_id", "text", "y")
     rows = got.orderBy("doc_id", F.xxhash64("text")).limit(2 * most).collect()
     return [r.text or "" for r in rows], [int(r.y) for r in rows]
 
