@@ -213,3 +213,17 @@ def two_readings(a, b, meaning, low, high, fallback=None) -> Column:
 def value_in_raw(value, raw) -> Column:
     """A published value must stand in its cell."""
     return F.contains(F.regexp_replace(F.regexp_replace(col(raw), r"[\s ]", ""), ",", "."), js_number(value))
+
+
+def french_long(date) -> Column:
+    """'1er mars 2026' style long date of a day."""
+    names = F.array(*[F.lit(m) for m in ("janvier", "février", "mars", "avril", "mai", "juin", "juillet", "août", "septembre", "octobre", "novembre", "décembre")])
+    d = col(date).cast("date")
+    day = F.when(F.dayofmonth(d) == 1, "1er").otherwise(F.dayofmonth(d).cast("string"))
+    return F.concat_ws(" ", day, F.element_at(names, F.month(d)), F.year(d).cast("string"))
+
+
+def range_label(low, high) -> Column:
+    """'1 200 – 3 400': whole numbers with blanks between thousands."""
+    show = lambda c: F.regexp_replace(F.format_number(F.floor(col(c) + 0.5), 0), ",", " ")
+    return F.concat(show(low), F.lit(" – "), show(high))

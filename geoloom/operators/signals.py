@@ -199,3 +199,55 @@ def both_passes(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
     left, right = side(a, "raw_a"), side(b, "raw_b")
     zones = left.select(key, "zone_code").distinct().join(right.select(key, "zone_code").distinct(), [key, "zone_code"])
     return left.join(right, [key, "zone_code", "field"], "full").join(zones, [key, "zone_code"], "left_semi")
+
+
+# ---------------------------------------------------------------- small readings
+
+
+def pairs(c) -> Column:
+    """slug=code lists, codes of four or five digits; others drop out."""
+    rows = F.transform(F.split(col(c), ","), lambda x: F.struct(F.trim(F.substring_index(x, "=", 1)).alias("slug"), F.regexp_extract(x, r"=\s*(\d{4,5})\s*$", 1).alias("code")))
+    return F.filter(rows, lambda r: (r["slug"] != "") & (r["code"] != ""))
+
+
+def viewer_code(url) -> Column:
+    """The municipality's code in a viewer's address, padded to five digits."""
+    code = F.coalesce(F.nullif(F.regexp_extract(col(url), r"[?&]m=(\d{4,5})(?:&|$)", 1), F.lit("")), F.nullif(F.regexp_extract(col(url), r"[?/](\d{4,5})(?:[/?#]|$)", 1), F.lit("")))
+    return F.lpad(code, 5, "0")
+
+
+def channel_id(c) -> Column:
+    return F.nullif(F.regexp_extract(col(c), r"(?:^|/channel/)(UC[A-Za-z0-9_-]{22})(?:$|[/?])", 1), F.lit(""))
+
+
+def candidate_pages(index, hints: list[str]) -> Column:
+    """Addresses to look at: the index page, its site's root, and the root with each hint; each once, in order."""
+    root = F.regexp_extract(col(index), r"^(https?://[^/?#]+)", 1)
+    return F.array_distinct(F.array(col(index), F.concat(root, F.lit("/")), *[F.concat(root, F.lit("/" + h.strip("/"))) for h in hints]))
+
+
+def polygon_layers(names) -> Column:
+    """Of layer names, those that may hold zone lines: no labels, no base map."""
+    return F.filter(col(names), lambda n: fold(n).rlike("zon|limite") & ~fold(n).rlike("text|etiquet|label|cadas|rue|hydro|cote"))
+
+
+def boosted(tracks, first: list[str]) -> Column:
+    """Boosted tracks in front, both parts in their order."""
+    t = col(tracks)
+    return F.concat(F.filter(t, lambda x: x.isin(*first)), F.filter(t, lambda x: ~x.isin(*first)))
+
+
+def spread(df: DataFrame, order: str, accounts: int) -> DataFrame:
+    """Rows dealt in turn to accounts, by position."""
+    n = F.row_number().over(Window.partitionBy(F.spark_partition_id()).orderBy(order))
+    return df.withColumn("account", F.pmod(n - 1 + F.spark_partition_id(), F.lit(accounts)))
+
+
+def seeded_sample(rows: list, n: int, seed: int) -> list:
+    """A sample in a shuffled order that a seed repeats, by a linear congruential generator."""
+    out, state = list(rows), seed & 0xFFFFFFFF
+    for i in range(len(out) - 1, 0, -1):
+        state = (state * 1664525 + 1013904223) & 0xFFFFFFFF
+        j = state * (i + 1) >> 32
+        out[i], out[j] = out[j], out[i]
+    return out[:n]

@@ -87,6 +87,15 @@ class Api:
     def conformance(self) -> tuple[int, dict]:
         return 200, {"conformsTo": [f"http://www.opengis.net/spec/ogcapi-features-1/1.0/conf/{x}" for x in ("core", "geojson")]}
 
+    def openapi(self) -> tuple[int, dict]:
+        """The description of these paths and their parameters."""
+        text = lambda where, name: {"name": name, "in": where, "required": where == "path", "schema": {"type": "string"}}
+        number = lambda name, least: {"name": name, "in": "query", "schema": {"type": "integer", "minimum": least}}
+        get = lambda *params: {"get": {"parameters": list(params), "responses": {"200": {"description": "ok"}, "404": {"description": "not found"}}}}
+        name = text("path", "collectionId")
+        paths = {"/": get(), "/conformance": get(), "/collections": get(), "/collections/{collectionId}": get(name), "/collections/{collectionId}/items": get(name, text("query", "bbox"), number("limit", 1), number("offset", 0)), "/collections/{collectionId}/items/{featureId}": get(name, text("path", "featureId"))}
+        return 200, {"openapi": "3.0.3", "info": {"title": "features", "version": "1.0.0"}, "paths": paths}
+
     def collections(self) -> tuple[int, dict]:
         return 200, {"collections": self.provider.collections()}
 

@@ -74,10 +74,10 @@ def test_request_parameters():
     assert FE.parse_limit("12a") == 12 and FE.parse_limit("0") == 100 and FE.parse_limit("99999") == 10000 and FE.parse_limit(None) == 100 and FE.parse_offset("-4") == 0 and FE.parse_offset("7") == 7
 
 
-ROBOTS = "User-agent: *\nDisallow: /a/\nAllow: /a/b\nCrawl-delay: 4\n\nUser-agent: radar\nUser-agent: radar-bot\nDisallow: /*.pdf$\n"
+ROBOTS = "User-agent: *\nDisallow: /a/\nAllow: /a/b\nCrawl-delay: 4\n\nUser-agent: crawler\nUser-agent: crawler-bot\nDisallow: /*.pdf$\n"
 
 
-@pytest.mark.parametrize(("agent", "path", "want"), [("x/1.0", "/a/c", False), ("x", "/a/b/c", True), ("x", "/z", True), ("Radar-Bot/2", "/q.pdf", False), ("Radar-Bot/2", "/q.pdf?x", True), ("radar", "/a/c", True)])
+@pytest.mark.parametrize(("agent", "path", "want"), [("x/1.0", "/a/c", False), ("x", "/a/b/c", True), ("x", "/z", True), ("Crawler-Bot/2", "/q.pdf", False), ("Crawler-Bot/2", "/q.pdf?x", True), ("crawler", "/a/c", True)])
 def test_robots(agent, path, want):
     assert GA.robots_may(ROBOTS, agent, path) is want
     assert GA.robots_group(GA.robots_groups(ROBOTS), "none")["delay"] == 4
