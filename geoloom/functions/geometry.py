@@ -35,9 +35,9 @@ def extent(multi) -> Column:
 
 
 def boxes_meet(minx, miny, maxx, maxy, box: tuple[float, float, float, float]) -> Column:
-    """Closed boxes overlap (edge contact counts); a missing box never does."""
+    """Closed boxes overlap (edge contact counts). A missing box gives a missing answer, which filters drop: the bare comparisons reach the scan."""
     w, s, e, n = box
-    return F.coalesce((col(minx) <= e) & (col(maxx) >= w) & (col(miny) <= n) & (col(maxy) >= s), F.lit(False))
+    return (col(minx) <= e) & (col(maxx) >= w) & (col(miny) <= n) & (col(maxy) >= s)
 
 
 def box_2d(b) -> Column:
