@@ -7,10 +7,10 @@ are exploded by it and shuffled globally: dealt by the hash of seed, doc_id and
 copy number to partitions, and ordered by it inside.  The hash is MD5, so that
 other engines draw the same numbers.
 
-The rates (one row for each source) are joined, not looked up by a function; a
-source with a third of all rows needs no shuffle where the rates are small
-enough to be broadcast by Spark's own size check, else adaptive execution splits
-it.
+The rates (one row for each source) are written to a file, whose size is known
+when the join is planned: if it is small enough for Spark's own size check they
+are broadcast and no text is moved by its source, else adaptive execution splits
+a source with a third of all rows.
 
 Edge cases: a null source is a source of its own, named by a null key in
 ``weights``; sources without a weight get none and vanish if weights are given;
@@ -23,7 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fresh
+from .common import cut, fresh, written
 
 SEED = 7
 
@@ -55,7 +55,7 @@ def rates(docs: DataFrame, weights: dict[str | None, float] | None = None) -> Da
         return F.struct(log.alias("log"), up.alias("sum"), F.concat(acc["cdf"], F.array(up)).alias("cdf"))
 
     cdf = F.when(F.col("mean") > 0, F.aggregate(F.sequence(F.lit(0), most), start, step)["cdf"]).otherwise(F.array(F.lit(1.0)))
-    return cut(mean.select("mix_source", "mean", cdf.alias("cdf")))
+    return written(mean.select("mix_source", "mean", cdf.alias("cdf")), "rates")
 
 
 def drawn(docs: DataFrame, weights: dict[str | None, float] | None = None, seed: int = SEED) -> DataFrame:

@@ -107,7 +107,8 @@ def thresholds(rows: DataFrame) -> DataFrame:
     total = every.select(F.struct(*[f"{m}_all" for m in MEASURES])).scalar()  # one row: a scalar subquery
     joined = own.join(lang, "q_lang")
     pick = lambda m: F.when(F.col("n_own") >= LEAST_ROWS, F.col(f"{m}_own")).when(F.col("n_lang") >= LEAST_ROWS, F.col(f"{m}_lang")).otherwise(total[f"{m}_all"])
-    return cut(joined.select("q_lang", "q_source", *[pick(m).alias(f"{m}_most") for m in MEASURES]))
+    # a file's size is known when the join is planned: small, it is broadcast by Spark's own check, and no text is moved by a hot source
+    return written(joined.select("q_lang", "q_source", *[pick(m).alias(f"{m}_most") for m in MEASURES]), "thresholds")
 
 
 def _judged(rows: DataFrame) -> DataFrame:
