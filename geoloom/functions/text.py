@@ -157,9 +157,8 @@ def urls_in(c) -> Column:
 
 
 def anchors(c) -> Column:
-    """href and inner markup of every anchor, in document order."""
-    hrefs = F.regexp_extract_all(col(c), F.lit(r"""(?i)<a\s[^>]*href=["']([^"']*)["'][^>]*>"""), F.lit(1))
-    return hrefs
+    """Address of every anchor, in document order."""
+    return F.regexp_extract_all(col(c), F.lit(r"""(?i)<a\s[^>]*href=["']([^"']*)["'][^>]*>"""), F.lit(1))
 
 
 def to_https(c) -> Column:
@@ -167,7 +166,7 @@ def to_https(c) -> Column:
     s = F.nullif(F.trim(col(c)), F.lit(""))
     bare = F.regexp_replace(s, "(?i)^https?://", "")
     host = F.lower(F.regexp_extract(bare, "^([^/?#]*)", 1))
-    return F.regexp_replace(F.concat(F.lit("https://"), host, F.expr("''"), F.substr(bare, F.length(host) + 1)), "/+$", "")
+    return F.regexp_replace(F.concat(F.lit("https://"), host, F.substr(bare, F.length(host) + 1)), "/+$", "")
 
 
 def source_slug(c) -> Column:

@@ -41,7 +41,7 @@ def assert_redistributable(df: DataFrame, redistributable: str, profile: str) ->
     return df.withColumn("_gate", F.when(may_redistribute(redistributable, profile), F.lit(None).cast("string")).otherwise(F.raise_error("licence does not allow redistribution"))).filter("_gate IS NULL").drop("_gate")
 
 
-def pages_of(spec: tuple[tuple[str, int], ...], hay: Column) -> Column:
+def weighed(spec: tuple[tuple[str, int], ...], hay: Column) -> Column:
     """Weighted keywords: the sum of the weights of the patterns found."""
     return sum((F.when(hay.rlike(p), w).otherwise(0) for p, w in spec), F.lit(0))
 
@@ -56,7 +56,7 @@ GRID_WEIGHTS = (
 
 
 def grid_score(title, url) -> Column:
-    return pages_of(GRID_WEIGHTS, F.concat_ws(" ", fold(title), fold(url)))
+    return weighed(GRID_WEIGHTS, F.concat_ws(" ", fold(title), fold(url)))
 
 
 def notice_type(c) -> Column:
@@ -88,13 +88,12 @@ def platform(url) -> Column:
     return out
 
 
-def robots_allowed(paths: DataFrame, rules: DataFrame, group: str = "grp", path: str = "path") -> DataFrame:
-    """paths with ``allowed``: of the rules (grp, pattern, allow) that hold, the longest literal one; allow wins ties; none: allowed.
+def robots_allowed(paths: DataFrame, rules: tuple[tuple[str, str, bool], ...], group: str = "grp", path: str = "path") -> DataFrame:
+    """paths with ``allowed``: of the rules (group, pattern, allow) that hold, the longest literal one; allow wins ties; none: allowed.
 
-    Patterns are few and fixed; each becomes one expression over the path.
+    A site's rules are few; each becomes one expression over the path.
     """
-    spec = rules.collect() if isinstance(rules, DataFrame) else rules
-    held = F.array(*[F.when((col(group) == g) & col(path).rlike(robots_regex(p)), F.struct(F.lit(len(p.replace("*", "").rstrip("$"))).alias("n"), F.lit(bool(a)).alias("a"))) for g, p, a in spec])
+    held = F.array(*[F.when((col(group) == g) & col(path).rlike(robots_regex(p)), F.struct(F.lit(len(p.replace("*", "").rstrip("$"))).alias("n"), F.lit(bool(a)).alias("a"))) for g, p, a in rules])
     best = F.array_max(F.filter(held, lambda x: x.isNotNull()))
     return paths.withColumn("allowed", F.coalesce(best["a"], F.lit(True)))
 
