@@ -59,11 +59,9 @@ def hashed(words: list[bytes]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.nd
             h = (h ^ (raw[k : k + m] * mult[k])) * np.uint32(16777619)
         fits = inside[:m] + n <= size[owner[:m]]
         grams.append((owner[:m][fits], ((h[fits] ^ (h[fits] >> 15)) >> np.uint32(32 - GRAM_BITS)).astype(np.int64)))
-    power = np.full(len(raw), 31, np.uint32)
     # word hash: sum of byte values weighted by mixed positions
     weight = ((inside.astype(np.uint32) + 1) * np.uint32(2654435761)) ^ ((inside.astype(np.uint32) + 7) * np.uint32(2246822519))
     value = (raw * np.uint32(2654435769) ^ (raw << np.uint32(13))) * (weight | np.uint32(1))
-    del power
     total = np.add.reduceat(value, begin).astype(np.uint32) if len(words) else np.zeros(0, np.uint32)
     total = (total ^ (total >> 16)) * np.uint32(2246822519)
     return (total >> np.uint32(32 - WORD_BITS)).astype(np.int64), grams
