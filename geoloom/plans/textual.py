@@ -130,9 +130,9 @@ def bylaw_numbers(spark, sf_dir):
 
 @query()
 def context_window_detector(spark, sf_dir):
-    """Minutes stand-ins: a notice of motion about zoning is put around a part of each document."""
+    """Minutes stand-ins: a notice of motion about zoning is put into every second document, between its first 300 characters and the rest."""
     k = F.col("doc_id")
-    text = F.concat(F.substring("text", 1, 300), F.lit("\n\nAvis de motion est donné par le conseiller pour le règlement numéro "), (k % 900 + 100).cast("string"), F.lit("-"), (k % 90 + 10).cast("string"), F.lit(" modifiant le règlement de zonage numéro 77-12 afin de créer la zone H-"), (k % 50 + 1).cast("string"), F.lit(".\n\n"), F.substring("text", 301, 300))
+    text = F.concat(F.substring("text", 1, 300), F.lit("\n\nAvis de motion est donné par le conseiller pour le règlement numéro "), (k % 900 + 100).cast("string"), F.lit("-"), (k % 90 + 10).cast("string"), F.lit(" modifiant le règlement de zonage numéro 77-12 afin de créer la zone H-"), (k % 50 + 1).cast("string"), F.lit(".\n\n"), F.col("text").substr(F.lit(301), F.length("text")))
     return table(spark, sf_dir, "documents").select("doc_id", X.zoning_change(F.when(k % 2 == 0, text).otherwise(F.col("text"))).alias("z")).select("doc_id", "z.*")
 
 
