@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+from urllib.parse import quote, urljoin, urlsplit
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame
@@ -13,6 +14,7 @@ from pyspark.sql.functions import pandas_udf
 from geoloom.functions.quantities import field_of_label, measure, round_half_up
 from geoloom.functions.text import col
 from geoloom.functions import text as TX
+from geoloom.operators.signals import needs_browser
 
 
 def anchors(pages: DataFrame, key: str, html: str) -> DataFrame:
@@ -21,6 +23,37 @@ def anchors(pages: DataFrame, key: str, html: str) -> DataFrame:
     return rows.groupBy(key, "href").agg(F.min("pos").alias("pos"))
 
 
+_KEPT = "%/:=&?~+!$,;'@()*[]^|\\"
+
+
+@pandas_udf(T.StringType())
+def joined_url(base: pd.Series, href: pd.Series) -> pd.Series:
+    """The address that a link leads to from a page, without its fragment; missing unless it is of the web."""
+
+    def one(b: str | None, h: str | None) -> str | None:
+        try:
+            u = urlsplit(urljoin(b or "", (h or "").strip()))
+        except ValueError:
+            return None
+        if u.scheme not in ("http", "https") or not u.netloc:
+            return None
+        return f"{u.scheme}://{u.netloc.lower()}{quote(u.path, safe=_KEPT) or '/'}" + (f"?{quote(u.query, safe=_KEPT)}" if u.query else "")
+
+    return pd.Series([one(b, h) for b, h in zip(base, href)], dtype=object)
+
+
+def links(pages: DataFrame, key: str, html: str, url: str) -> DataFrame:
+    """key, page_url, href, label, pos: every link of a page with a text, its address joined to the page's base; none of pages that need a browser."""
+    read = pages.filter(needs_browser(html).isNull())
+    tags = F.regexp_extract_all(col(html), F.lit(r"(?is)<a\b[^>]*>.*?</a>"), F.lit(0))
+    rows = read.select(key, F.col(url).alias("page_url"), F.regexp_extract(html, r"""(?i)<base\b[^>]*href=["']([^"']+)["']""", 1).alias("base"), F.posexplode(tags).alias("pos", "tag"))
+    href = F.regexp_extract("tag", r"""(?i)^<a\b[^>]*?\shref=["']([^"'>]+)["']""", 1)
+    label = TX.squish(F.regexp_replace(F.regexp_replace("tag", "(?i)^<a[^>]*>|</a>$", ""), "<[^>]+>", " "))
+    rows = rows.select(key, "page_url", "base", href.alias("raw"), label.alias("label"), "pos").filter(~F.trim("raw").rlike("(?i)^(?:$|#|javascript:|mailto:|tel:|data:)"))
+    base = F.when(F.col("base") == "", F.col("page_url")).otherwise(joined_url("page_url", "base"))
+    return rows.select(key, "page_url", joined_url(F.coalesce(base, F.col("page_url")), F.col("raw")).alias("href"), "label", "pos").filter("href IS NOT NULL")
+
+
 def located_pages(docs: DataFrame, key: str, text: str, breaker: str, pattern: str) -> DataFrame:
     """Pages of each document, those with a pattern, the first and last of these, and how densely they lie between."""
     rows = docs.select(key, F.posexplode(F.split(text, breaker)).alias("p", "page"))
@@ -65,22 +98,80 @@ def zone_kind(c) -> Column:
     return out
 
 
+def _wide(pattern: str, flags: int = re.I) -> re.Pattern:
+    """The pattern with digits and word limits of ASCII, and with all white space of Unicode."""
+    limit = "(?:(?<![A-Za-z0-9_])(?=[A-Za-z0-9_])|(?<=[A-Za-z0-9_])(?![A-Za-z0-9_]))"
+    blank = "[\t-\r \u00a0\u1680\u2000-\u200a\u2028\u2029\u202f\u205f\u3000\ufeff]"
+    return re.compile(pattern.replace(r"\b", limit).replace(r"\d", "[0-9]").replace(r"\s", blank), flags)
+
+
 # What a notice of motion says, and what makes it one about zoning.
-_MOTION = re.compile(r"avis\s+de\s+motion", re.I)
-_ZONING = re.compile(r"zonage|\bzones?\b|usages?\b|densit|lotissement", re.I)
-_NUMBER = re.compile(r"r[èe]glement\s+(?:(?:de|d'|sur le|relatif au)\s*\w+\s+)?(?:num[ée]ro|n[o°º]\.?)?\s*(\d{1,4}(?:-\d{1,5})+)", re.I)
-_CHANGED = re.compile(r"(?:modifiant|amendant|rempla[cç]ant|abrogeant)\s+le\s+r[èe]glement\s+(?:(?:de|d'|sur le)\s*\w+\s+)?(?:num[ée]ro|n[o°º]\.?)?\s*(\d{1,4}(?:-\d{1,5})+)", re.I)
-_ZONE = re.compile(r"\bzones?\s+([A-Z]{1,3}-?\d{1,4}(?:-\d{1,3})?)", re.I)
-_DENSITY = re.compile(r"densit|logements?\s+(?:par|à l'hectare)|cos\b", re.I)
-_RESULT = T.StructType([T.StructField("found", T.BooleanType()), T.StructField("bylaws", T.ArrayType(T.StringType())), T.StructField("changed", T.ArrayType(T.StringType())), T.StructField("zones", T.ArrayType(T.StringType())), T.StructField("density", T.BooleanType()), T.StructField("excerpt", T.StringType())])
-REACH = 400
+_MOTION = _wide(r"avis\s+de\s+motion(?:\s+a\s+[eé]t[eé]\s+donn[eé])?|(?:donne|doit\s+donner|lui\s+donne)\s+avis\s+de\s+motion")
+_PAST = _wide(r"avis\s+de\s+motion\s+a\s+[eé]t[eé]\s+donn[eé]")
+_ZONING = _wide(r"\b(?:zonage|r[eè]glement\s+de\s+zonage|r[eè]glement\s+d'urbanisme)\b")
+# Numbers of bylaws: 1926-26; Z-3001.  Where zoning is named also: V654-2026-33; 1767; URB-03-17.
+_NUMBER = _wide(r"r[eè]glement\s+(?:n(?:[o°º]|um[eé]ro)?\s*\.?\s*)?(\d{2,4}-\d{1,4})\b")
+_LETTER = _wide(r"r[eè]glement\s+de\s+zonage\s+(?:n(?:[o°º]|um[eé]ro)?\s*[.°º]?\s*)?([A-Z]-\d{3,4})\b")
+_IN_ZONING = (
+    _wide(r"r[eè]glement\s+(?:n(?:[o°]|um[eé]ro)?\s*\.?\s*)?([A-Z]\d{2,4}-\d{4}-\d{1,3})\b"),
+    _wide(r"r[eè]gl(?:ement)?\s*[.]?\s+(?:(?:de\s+)?(?:zonage|lotissement|construction)\s+|d'urbanisme\s+)?n(?:[o°º]|um[eé]ro)?\s*[.°º]?\s*(\d{3,4})\b(?!-\d)"),
+    _wide(r"r[eè]glement\s+(?:de\s+(?:zonage|l'urbanisme)\s+)?(?:n(?:[o°º]|um[eé]ro)?\s*[.°º]?\s*)?([A-Z]{2,4}-\d{2,4}(?:-\d{1,3})?)\b"),
+)
+_CHANGED = (
+    _wide(r"(?:modifiant|amendant)\s+le\s+r[eè]glement\s+(?:de\s+zonage|d'urbanisme)\s+(?:n(?:[o°]|um[eé]ro)?\s*\.?\s*)?(\d{2,4}-\d{1,4})\b"),
+    _wide(r"(?:modifiant|amendant)\s+le\s+r[eè]glement\s+(?:de\s+zonage|d'urbanisme)\s+(?:n(?:[o°]|um[eé]ro)?\s*\.?\s*)?([A-Z]\d{2,4}-\d{4}-\d{1,3})\b"),
+    _wide(r"(?:modifiant|amendant)\s+le\s+r[eè]gl(?:ement)?\.?\s+(?:de\s+zonage|d'urbanisme)\s+\(?r[eè]gl\.\s+n[°º]\s*(\d{3,4})\)?"),
+    _wide(r"(?:remplacer|remplaçant|abroger|abrog[eé])\s+(?:le\s+)?r[eè]gl(?:ement)?\.?\s*(?:n[o°º]|num[eé]ro)\s*[.°º]?\s*(\d{3,4})\b(?!-\d)"),
+    _wide(r"(?:modifiant|amendant)\s+le\s+[^A-Za-z0-9_]*r[eè]glement\s+([A-Z]{2,4}-\d{2,4}(?:-\d{1,3})?)\b"),
+)
+_ZONE = _wide(r"\b([A-Z]{1,4}-\d{2,4}(?:-\d{1,3})?)\b", 0)
+_NAMED_ZONE = _wide(r"\bzone\s+([A-Z]{1,4}-\d{1,4}(?:-\d{1,3})?)\b")
+_BLANKS = _wide(r"\s+")
+_BYLAW_WORD = _wide(r"r[eè]glement\b")
+_DENSITY = _wide(
+    r"habitation\s+multifamiliale|bifamiliale|trifamiliale|maison\s+de\s+chambres|logements?\s+multiples?|logements?\s+locatifs?|multi\s*[-–]\s*logements?|maison\s+de\s+rapport|plex\b|immeuble\s+(?:r[eé]sidentiel|locatif)"
+    r"|appartements?\s+(?:ou\s+)?logements?|r[eé]sidentiel\s+(?:multi|densif)|densit|densification|logements?\s+(?:par|à l'hectare)|cos\b"
+)
+_RESULT = T.StructType([T.StructField("found", T.BooleanType()), T.StructField("bylaws", T.ArrayType(T.StringType())), T.StructField("changed", T.ArrayType(T.StringType())), T.StructField("zones", T.ArrayType(T.StringType())), T.StructField("density", T.BooleanType()), T.StructField("excerpts", T.ArrayType(T.StringType()))])
+REACH, EXCERPT = 400, 200
+
+
+def _context(text: str, m: re.Match) -> str:
+    """The text around a motion, cut at the nearest blank lines within reach.
+
+    A motion of the past looks forward only.  One whose paragraph goes on with a
+    bylaw's number but does not speak of zoning takes in the next paragraph, within twice the reach.
+    """
+    at, end = m.span()
+    first = text.find("\n\n", end)
+    stop = min(end + REACH, first if first >= 0 else len(text))
+    if _PAST.search(m[0]):
+        return text[at:stop]
+    second = text.find("\n\n", first + 2) if first >= 0 else -1
+    if second >= 0 and _NUMBER.search(rest := text[end:first]) and not _ZONING.search(rest):
+        stop = min(end + 2 * REACH, second)
+    a = max(0, at - REACH)
+    before = text.rfind("\n\n", max(0, a - 2), at)
+    return text[max(a, before + 2) if before >= 0 else a : stop]
+
 
+def _bylaws_in(around: str, zoning: bool) -> list[str]:
+    """Bylaw numbers, each once, family by family."""
+    return list(dict.fromkeys(n for p in (_NUMBER, _LETTER, *(_IN_ZONING if zoning else ())) for n in p.findall(around)))
 
-def _context(text: str, at: int) -> str:
-    """The text around a place, cut at the nearest blank lines within reach."""
-    a, b = max(0, at - REACH), min(len(text), at + REACH)
-    before, after = text.rfind("\n\n", a, at), text.find("\n\n", at, b)
-    return text[before + 2 if before >= 0 else a : after if after >= 0 else b]
+
+def _zones_in(around: str, bylaws: list[str]) -> list[str]:
+    """Zone codes that are no bylaw's number: in capitals and not up to 40 characters after the word bylaw, or right after the word zone."""
+    known = {n.upper() for n in bylaws}
+    codes = [m[1] for m in _ZONE.finditer(around) if m[1].upper() not in known and not _BYLAW_WORD.search(around[max(0, m.start() - 40) : m.start()])]
+    known |= {c.upper() for c in codes}
+    return list(dict.fromkeys(codes + [c for c in _NAMED_ZONE.findall(around) if c.upper() not in known]))
+
+
+def _excerpt(text: str, at: int) -> str:
+    """The text around a place, on one line, with dots where it is cut."""
+    a, b = max(0, at - EXCERPT // 2), min(len(text), at + EXCERPT // 2)
+    return "…" * (a > 0) + _BLANKS.sub(" ", text[a:b]).strip(" ") + "…" * (b < len(text))
 
 
 def detect_zoning_change(text: str | None) -> tuple:
@@ -88,24 +179,29 @@ def detect_zoning_change(text: str | None) -> tuple:
     numbers: dict[str, None] = {}
     changed: dict[str, None] = {}
     codes: dict[str, None] = {}
-    density, excerpt = False, None
+    found, density, excerpts = False, False, []
     for m in _MOTION.finditer(text):
-        around = _context(text, m.start())
-        if not _ZONING.search(around):
+        around = _context(text, m)
+        zoning = _ZONING.search(around) is not None
+        own = _bylaws_in(around, zoning)
+        if not own:
+            continue
+        excerpts.append(_excerpt(text, m.start()))
+        if not zoning:
             continue
-        changed |= dict.fromkeys(_CHANGED.findall(around))
-        numbers |= dict.fromkeys(_NUMBER.findall(around))
-        codes |= dict.fromkeys(c.upper() for c in _ZONE.findall(around))
-        density |= bool(_DENSITY.search(around))
-        excerpt = excerpt or " ".join(around.split())[:200]
-    # the new bylaws are those that no other one replaces; if none is left, all
-    new = [n for n in numbers if n not in changed] or list(numbers)
-    return excerpt is not None, new, list(changed), list(codes), density, excerpt
+        found = True
+        old = dict.fromkeys(n for p in _CHANGED for n in p.findall(around))
+        # the new bylaws are those that no other one replaces; if none is left, all
+        numbers |= dict.fromkeys([n for n in own if n not in old] or own)
+        changed |= old
+        codes |= dict.fromkeys(_zones_in(around, own))
+        density |= _DENSITY.search(around) is not None
+    return found, list(numbers), list(changed), list(codes), density, excerpts
 
 
 @pandas_udf(_RESULT)
 def zoning_change(text: pd.Series) -> pd.DataFrame:
-    """Notices of motion about zoning: found, new bylaws, changed ones, zones, density, excerpt."""
+    """Notices of motion: whether one is about zoning, its new bylaws, changed ones, zones, density; an excerpt of each that names a bylaw."""
     return pd.DataFrame([detect_zoning_change(t) for t in text], columns=_RESULT.names)
 
 

@@ -52,6 +52,8 @@ GRID_WEIGHTS = (
     (r"reglement\s+de\s+zonage", 5), (r"usages?\s+et\s+normes?", 4), (r"codification\s+administrative", 4), (r"\ba\s+jour\s+au\b|consolidation|consolide|refondue?", 2),
     (r"\bgrilles?\b", 3), (r"\bzonage\b", 3), (r"specifications?\b", 2), (r"\burbanisme\b", 1), (r"\bannexe\b", 1), (r"\bnormes?\b", 1),
     (r"\bpiia\b|integration\s+architecturale", -3), ("lotissement", -2), (r"\bppcmoi\b", -2), ("derogation", -2), (r"permis\s+et\s+certificat", -2), (r"proces[-\s]?verba", -4), (r"ordre\s+du\s+jour", -4),
+    (r"\bmodifiant\b", -4), (r"\bamend(?:ant|ement|er)\b", -4), (r"projet\s+(?:de\s+reglement|d['e ]?\s*adoption)", -3), (r"avis\s+de\s+motion", -3),
+    (r"elevage|unites?\s+animales?|distances?\s+separatrices?|gestion\s+des\s+odeurs", -3),
 )
 
 

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geoloom.functions.text import col, fold, is_document_href, same_site
+from geoloom.functions.text import col, fold, is_document_href, same_site, site_of
+from geoloom.operators.gates import grid_score, weighed
 
 
 # ---------------------------------------------------------------- zone labels
@@ -88,6 +89,33 @@ def minutes_links(anchors: DataFrame, page: str, base: str, url: str, label: str
     return kept.groupBy(page, F.col(url).alias("minutes_url")).agg(F.min_by(label, order).alias("label"), F.min(order).alias("pos"))
 
 
+def grid_links(links: DataFrame, page: str, url: str, label: str, order: str, least: int = 4) -> DataFrame:
+    """page, url, label, score, rank: PDF files whose label and address score ``least`` or more as a zoning grid, best first; an address once, with its best label."""
+    scored = links.filter(F.col(url).rlike(r"(?i)\.pdf(?:[?#].*)?$")).withColumn("gl_score", grid_score(label, url)).filter(F.col("gl_score") >= least)
+    place = F.struct((-F.col("gl_score")).alias("s"), F.col(order).alias("o"))
+    best = scored.groupBy(page, url).agg(F.min_by(label, place).alias(label), F.max("gl_score").alias("score"), F.min(place)["o"].alias("gl_pos"))
+    return best.withColumn("rank", F.row_number().over(Window.partitionBy(page).orderBy(F.desc("score"), "gl_pos"))).drop("gl_pos")
+
+
+# Words of links worth following from a page, and of those that are not; hints and their scores. All on folded text.
+FOLLOWED = "urbanism|zonage|reglement|amenagement|grille|specification|permis"
+SKIPPED = r"facebook|twitter|instagram|linkedin|youtube|mailto:|tel:|/(?:en|es)/|login|connexion|panier|cart"
+HINTS = (("grille|specification", 4), ("zonage", 3), ("urbanism", 2), ("reglement", 1))
+
+
+def subpages(links: DataFrame, page: str, base: str, url: str, label: str, order: str, most: int = 5) -> DataFrame:
+    """page, url, label, score, rank: up to ``most`` pages of the same site (but the page itself and documents) that may lead to a zoning grid, best hints first."""
+    said = fold(F.concat_ws(" ", label, url))
+    fine = (site_of(url) == site_of(base)) & (F.col(url) != F.col(base)) & ~F.col(url).rlike(r"(?i)\.(?:pdf|docx?|odt)(?:[?#].*)?$")
+    kept = links.filter(fine & ~said.rlike(SKIPPED) & said.rlike(FOLLOWED))
+    # the first link of an address stands for it
+    place = F.struct(F.col(order).alias("o"))
+    first = kept.groupBy(page, url).agg(F.min_by(F.struct(F.col(label).alias("label"), (weighed(HINTS, said) + 1).alias("score")), place).alias("sp"), F.min(order).alias("sp_pos"))
+    named = first.select(page, url, F.coalesce(F.nullif("sp.label", F.lit("")), F.col(url)).alias(label), F.col("sp.score").alias("score"), "sp_pos")
+    rank = F.row_number().over(Window.partitionBy(page).orderBy(F.desc("score"), "sp_pos"))
+    return named.withColumn("rank", rank).filter(F.col("rank") <= most).drop("sp_pos")
+
+
 def session_only(c) -> Column:
     """Whether a name is but a date and session words: at most two letters are left without them."""
     s = fold(col(c))

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import pytest
+
 from geoloom import plans
+from geoloom.operators import extract, signals
 
 QUERIES = plans.queries()
 
@@ -12,3 +15,41 @@ def test_detector_reads_whole_documents(spark, tmp_path):
     spark.createDataFrame([(2, late), (3, late)], "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
     got = {r.doc_id: (r.bylaws, r.zones) for r in QUERIES["context_window_detector"](spark, str(tmp_path)).collect()}
     assert got == {2: (["102-12", "555-12"], ["H-3", "C-77"]), 3: (["555-12"], ["C-77"])}
+
+
+MOTION = "Avis de motion est donné par le conseiller. "
+
+
+@pytest.mark.parametrize(("text", "bylaws", "zones"), [
+    (MOTION + "Règlement nº 1767 modifiant le Règlement de zonage (Règl. n°1733)", ["1767"], []),
+    (MOTION + "Règlement de zonage Z-3001, en vue d'agrandir dans le secteur du centre les zones C-754, C-810 et H-812", ["Z-3001"], ["C-754", "C-810", "H-812"]),
+    (MOTION + "Règlement URB-03-17 modifiant le « Règlement URB-03 sur le zonage »", ["URB-03-17"], []),
+    (MOTION + "Règlement numéro V654-2026-33 amendant le règlement de zonage numéro V654-2017-00, zone MxtV-2", ["V654-2026-33"], ["MxtV-2"]),
+    (MOTION + "Règlement numéro 1998 visant à remplacer le règlement numéro 1675, zonage", ["1998"], []),
+    # the next paragraph counts if this one names a bylaw and no zoning
+    (MOTION + "Règlement 1200-93.\n\nIl modifie le règlement de zonage, zone C-254.\n\nZone C-999.", ["1200-93"], ["C-254"]),
+    (MOTION + "Rien.\n\nRèglement 1200-93 de zonage.\n\nFin", [], []),
+    # a motion of the past looks forward only
+    ("Règlement 2026-509 de zonage. Avis de motion a été donné pour le règlement 2026-510 de zonage", ["2026-510"], []),
+])
+def test_detector_families_and_contexts(text, bylaws, zones):
+    got = extract.detect_zoning_change(text)
+    assert (got[0], got[1], got[3]) == (bool(bylaws), bylaws, zones)
+
+
+def test_detector_excerpt_of_each_motion():
+    part = "Avis de motion pour le règlement 12-34 de zonage.\n\n" + "x" * 300 + "\n\n"
+    got = extract.detect_zoning_change(part + part)[5]
+    assert len(got) == 2 and got[0].startswith("Avis de motion") and got[1].startswith("…x") and got[1].endswith("…") and "x Avis de motion pour" in got[1]
+
+
+HTML = """<base href='/b/'><a class="k" href='grille.pdf'>Grille des spécifications</a><a href="grille.pdf#p2">Annexe</a><a href="/pv.pdf">Procès-verbal</a><a href="https://cdn.ca/z.pdf">Règlement de zonage</a><a href="https://cdn.ca/m.pdf">Règlement modifiant le règlement de zonage</a>
+<a href="u">Urbanisme</a><a href="/z#x">Plan de <b>zonage</b></a><a href="https://www.v.ca/">Zonage</a><a href="https://autre.ca/zonage">Zonage</a><a href="/login?zonage">x</a><a href="#zonage">zonage</a><a href="/loisirs">Loisirs</a><a href="/r">Règlements</a>"""
+
+
+def test_links_to_grids_and_subpages(spark):
+    found = extract.links(spark.createDataFrame([(1, "https://v.ca/", HTML)], "page_id int, url string, html string"), "page_id", "html", "url")
+    grids = signals.grid_links(found, "page_id", "href", "label", "pos").orderBy("rank").collect()
+    assert [(r.href, r.label) for r in grids] == [("https://v.ca/b/grille.pdf", "Grille des spécifications"), ("https://cdn.ca/z.pdf", "Règlement de zonage"), ("https://cdn.ca/m.pdf", "Règlement modifiant le règlement de zonage")]
+    pages = signals.subpages(found, "page_id", "page_url", "href", "label", "pos").orderBy("rank").collect()
+    assert [(r.href, r.score) for r in pages] == [("https://v.ca/z", 4), ("https://www.v.ca/", 4), ("https://v.ca/b/u", 3), ("https://v.ca/r", 2)]
