@@ -133,16 +133,20 @@ def upsert(old: DataFrame, new: DataFrame, key: str) -> DataFrame:
     return old.join(new.select(key), key, "left_anti").unionByName(new)
 
 
-def in_scope(rows: DataFrame, names: DataFrame, name: str, prefix: str, longest: int = 64) -> DataFrame:
-    """Rows whose name begins with any of the given prefixes (of up to ``longest`` characters).
+def in_scope(rows: DataFrame, names: DataFrame, name: str, prefix: str) -> DataFrame:
+    """Rows whose name begins with any of the given prefixes, each as often as it is there.
 
-    Each row lists the beginnings of its name and meets the prefixes by an equi-join, not by a comparison of every pair.
+    Each row lists the beginnings of its name, up to the longest prefix, and meets the prefixes by an equi-join, not by a
+    comparison of every pair.
     """
-    starts = F.transform(F.sequence(F.lit(1), F.least(F.length(name), F.lit(longest))), lambda n: F.substring(F.col(name), F.lit(1), n))
     keys = names.select(F.col(prefix).alias("is_key")).distinct()
-    key = F.struct(*rows.columns)
-    tried = rows.filter(F.length(name) > 0).select(key.alias("is_row"), F.explode(starts).alias("is_prefix"))
-    return tried.join(keys, F.col("is_prefix") == F.col("is_key"), "left_semi").select("is_row.*").distinct()
+    longest = keys.agg(F.coalesce(F.max(F.length("is_key")), F.lit(0))).scalar()  # one row: a scalar subquery
+    # equal rows are told apart by their number
+    boxed = rows.filter(F.col(name).isNotNull()).select(F.struct(*rows.columns).alias("is_row"), F.monotonically_increasing_id().alias("is_number"), F.col(name).alias("is_name"))
+    sizes = boxed.select("*", F.explode(F.sequence(F.lit(0), F.least(F.length("is_name"), longest))).alias("is_size"))
+    tried = sizes.select("is_row", "is_number", F.col("is_name").substr(F.lit(1), F.col("is_size")).alias("is_prefix"))
+    hits = tried.join(keys, F.col("is_prefix") == F.col("is_key"), "left_semi").groupBy("is_number").agg(F.first("is_row").alias("is_row"))
+    return hits.select("is_row.*")
 
 
 def numbered(df: DataFrame, name: str, *order: str, by: list[str] | None = None) -> DataFrame:

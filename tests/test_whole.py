@@ -5,7 +5,7 @@ from __future__ import annotations
 import pytest
 
 from geoloom import plans
-from geoloom.operators import extract, signals
+from geoloom.operators import extract, joins, signals
 
 QUERIES = plans.queries()
 
@@ -53,3 +53,11 @@ def test_links_to_grids_and_subpages(spark):
     assert [(r.href, r.label) for r in grids] == [("https://v.ca/b/grille.pdf", "Grille des spécifications"), ("https://cdn.ca/z.pdf", "Règlement de zonage"), ("https://cdn.ca/m.pdf", "Règlement modifiant le règlement de zonage")]
     pages = signals.subpages(found, "page_id", "page_url", "href", "label", "pos").orderBy("rank").collect()
     assert [(r.href, r.score) for r in pages] == [("https://v.ca/z", 4), ("https://www.v.ca/", 4), ("https://v.ca/b/u", 3), ("https://v.ca/r", 2)]
+
+
+def test_scope_of_long_prefixes_and_equal_rows(spark):
+    long = "x" * 70
+    rows = spark.createDataFrame([(long,), (long + "-nord",), ("ab",), ("ab",), ("b",), ("",), (None,)], "name string")
+    names = spark.createDataFrame([(long,), ("a",), ("a",), ("abc",), (None,)], "w string")
+    assert sorted(r.name for r in joins.in_scope(rows, names, "name", "w").collect()) == ["ab", "ab", long, long + "-nord"]
+    assert joins.in_scope(rows, names.limit(0), "name", "w").count() == 0 and joins.in_scope(rows, spark.createDataFrame([("",)], "w string"), "name", "w").count() == 6
