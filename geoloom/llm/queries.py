@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import bpe, lattice_lm, lines, mixing, multi_index, pii, quality, simhash, toxicity, urls
-from .common import table
+from .common import table, written
 
 #: The folder of the public vocabulary files; a parameter of the operators.
 VOCABULARIES = os.environ.get("GEOLOOM_VOCABULARIES", "/opt/tokenizers")
@@ -46,7 +46,8 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    got = mixing.mixed(table(spark, sf_dir, "documents").select("doc_id", "source"))
+    # whole documents are replicated, shuffled and written; the query lists the copies
+    got = written(mixing.mixed(table(spark, sf_dir, "documents")), "mixed")
     return got.select("doc_id", "source", F.col("mix_copies").alias("copies"), F.col("mix_copy").alias("copy_no"), F.col("mix_order").alias("shuffle_key"))
 
 
