@@ -39,14 +39,59 @@ def cut(df: DataFrame) -> DataFrame:
     return df.checkpoint()
 
 
+#: Folders that written() has made in this process and discard() has not deleted yet.
+_WRITTEN: list[str] = []
+
+
 def written(df: DataFrame, name: str) -> DataFrame:
     """Materialise a large table as Parquet in the shared folder and read it back."""
     spark = df.sparkSession
     at = f"{shared_dir(spark).rstrip('/')}/{name}-{uuid.uuid4().hex}"
+    _WRITTEN.append(at)
     df.write.parquet(at)
     return spark.read.schema(df.schema).parquet(at)
 
 
+def made() -> list[str]:
+    """The folders of written() that are still there."""
+    return list(_WRITTEN)
+
+
+def discard(spark: SparkSession, folders: list[str]) -> None:
+    """Delete folders of written() whose tables are read no more."""
+    jvm = spark.sparkContext._jvm
+    conf = spark.sparkContext._jsc.hadoopConfiguration()
+    for at in folders:
+        path = jvm.org.apache.hadoop.fs.Path(at)
+        path.getFileSystem(conf).delete(path, True)
+        if at in _WRITTEN:
+            _WRITTEN.remove(at)
+
+
+#: Plan nodes that pass each row of a file on as it is, or leave it out.
+_ROWWISE = {"LogicalRelation", "Project", "Filter", "SubqueryAlias"}
+
+
+def _from_files(plan) -> bool:
+    children = plan.children()
+    return plan.nodeName() in _ROWWISE and all(_from_files(children.apply(i)) for i in range(children.size()))
+
+
+def numberable(docs: DataFrame) -> DataFrame:
+    """The rows as a scan of files, whose rows have fixed places; any other table is written first."""
+    plan = docs._jdf.queryExecution().analyzed()
+    return docs if _from_files(plan) and plan.deterministic() else written(docs, "rows")
+
+
+def row_number(docs: DataFrame) -> Column:
+    """A number of each row of a numberable table: a hash of its file and its place there, the same in every scan, whatever tasks are repeated.
+
+    Two of N rows share a number with a chance of N * N / 2 ** 65; keys take the id beside it.
+    """
+    at = docs.metadataColumn("_metadata")
+    return F.xxhash64(at["file_path"], at["row_index"])
+
+
 def release(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of jobs whose tables are materialised and no longer held.
 

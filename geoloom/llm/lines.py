@@ -1,8 +1,9 @@
 """Line de-duplication by a deletion-neighbourhood join.
 
 Lines are compared without outer white space and in lower case.  A line goes
-if an earlier line of the corpus (by doc_id, then position) is equal to it or
-one character edit away; the earliest stays.  Lines without a word stay.
+if an earlier line of the corpus (by doc_id, row and position) is equal to it or
+one character edit away; the earliest stays.  Lines without a word stay.  The
+row is the fixed place of the row in its file, so equal ids are told apart.
 
 1. Equal lines: one aggregation over hash and length, with partial results,
    finds each distinct line's first place.  A line in a third of all documents
@@ -15,14 +16,16 @@ one character edit away; the earliest stays.  Lines without a word stay.
    earliest line of a key is verified.  Lines that delete at the same place are
    all one substitution apart, so each is compared with the key's earliest line
    only; a line that is itself the key is compared with those that delete to it.
-   No list of pairs arises from a crowd.
+   No list of pairs arises from a crowd.  Lines that share a key differ in one
+   character at most each way, so a key has no more of them than a line has
+   characters times the alphabet, however large the corpus is.
 3. First places without an earlier near line stay; their positions go back to
-   the documents by doc_id.
+   the documents by doc_id and row.
 
-Edge cases: a null text stays null and has no line; rows with equal doc_id are
-one sequence of lines by position, and if a line at a place stays, both rows keep
-theirs; a null doc_id comes first; an empty table gives an empty result; very
-long lines are compared whole.
+Edge cases: a null text stays null and has no line; rows with equal doc_id, or
+with a null one, follow each other by their places in the files, and a line stays
+in the first of them only; null ids come first; an empty table gives an empty
+result; very long lines are compared whole.
 """
 
 from __future__ import annotations
@@ -34,7 +37,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import cut, fresh, release, written
+from .common import cut, fresh, numberable, release, row_number, written
 from .quality import let
 
 EDITS = 1
@@ -50,17 +53,17 @@ def normal(line: Column) -> Column:
 
 
 def _lines(docs: DataFrame) -> DataFrame:
-    """doc_id, pos, line (normalised) of every line with a word."""
-    got = docs.select("doc_id", F.posexplode(F.split(F.col("text"), "\n")).alias("pos", "raw"))
-    return got.select("doc_id", "pos", normal(F.col("raw")).alias("line")).filter("line != ''")
+    """doc_id, row, pos, line (normalised) of every line with a word."""
+    got = docs.select("doc_id", "row", F.posexplode(F.split(F.col("text"), "\n")).alias("pos", "raw"))
+    return got.select("doc_id", "row", "pos", normal(F.col("raw")).alias("line")).filter("line != ''")
 
 
 def _halves(n: Column, line: Column) -> Column:
-    """Keys of which two lines within one edit share one: the shorter length with its first or last half (32-bit hashes; a clash costs work, not results)."""
+    """Keys of which two lines within one edit share one: the shorter length with its first or last half (a clash costs work, not results)."""
     keys = []
     for m in (n, n - 1):
         k = F.greatest(F.floor(m / 2).cast("int"), F.lit(0))
-        keys += [F.hash(m, F.lit(0), F.substr(line, F.lit(1), k)), F.hash(m, F.lit(1), F.substr(line, n - k + 1, k))]
+        keys += [F.xxhash64(m, F.lit(0), F.substr(line, F.lit(1), k)), F.xxhash64(m, F.lit(1), F.substr(line, n - k + 1, k))]
     return F.array(*keys)
 
 
@@ -84,7 +87,7 @@ def variants(line: str) -> np.ndarray:
 
 
 def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """id, doc_id, pos, line → id, doc_id, pos, key, at: a row for each variant, in lots of bounded size."""
+    """id, doc_id, row, pos, line → id, doc_id, row, pos, key, at: a row for each variant, in lots of bounded size."""
     for b in batches:
         lot, size = [], 0
         for r, line in enumerate(b.column("line").to_pylist()):
@@ -100,8 +103,8 @@ def _emit(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def _rows(b: pa.RecordBatch, lot: list[tuple[int, np.ndarray]]) -> pa.RecordBatch:
     at = pa.array(np.repeat([r for r, _ in lot], [len(k) for _, k in lot]))
-    cols = [b.column(c).take(at) for c in ("id", "doc_id", "pos")]
-    return pa.RecordBatch.from_arrays([*cols, pa.array(np.concatenate([k for _, k in lot])), pa.array(np.concatenate([np.arange(len(k), dtype=np.int32) for _, k in lot]))], ["id", "doc_id", "pos", "key", "at"])
+    cols = [b.column(c).take(at) for c in ("id", "doc_id", "row", "pos")]
+    return pa.RecordBatch.from_arrays([*cols, pa.array(np.concatenate([k for _, k in lot])), pa.array(np.concatenate([np.arange(len(k), dtype=np.int32) for _, k in lot]))], ["id", "doc_id", "row", "pos", "key", "at"])
 
 
 def _candidates(lines: DataFrame) -> DataFrame:
@@ -111,8 +114,8 @@ def _candidates(lines: DataFrame) -> DataFrame:
     each deleted place, and the line that is the key itself.
     """
     kind = lines.schema["doc_id"].dataType.simpleString()
-    var = lines.select("id", "doc_id", "pos", "line").mapInArrow(_emit, f"id bigint, doc_id {kind}, pos int, key bigint, at int")
-    place = F.struct("doc_id", "pos", "id")
+    var = lines.select("id", "doc_id", "row", "pos", "line").mapInArrow(_emit, f"id bigint, doc_id {kind}, row bigint, pos int, key bigint, at int")
+    place = F.struct("doc_id", "row", "pos", "id")
     # one substitution: the same key by deleting at the same place; the earliest line rules the others out
     first = F.min(place).over(Window.partitionBy("key", "at"))
     # one insertion: the shorter line is itself the key
@@ -125,7 +128,7 @@ def _candidates(lines: DataFrame) -> DataFrame:
 
 
 def near_firsts(lines: DataFrame) -> DataFrame:
-    """id of each distinct line (id, doc_id, pos, line) that has a line one edit away at an earlier place."""
+    """id of each distinct line (id, doc_id, row, pos, line) that has a line one edit away at an earlier place."""
     pairs = cut(_candidates(lines))
     left, right = lines.select(F.col("id").alias("a"), F.col("line").alias("line_a")), lines.select(F.col("id").alias("b"), F.col("line").alias("line_b"))
     true = pairs.join(left, "a").join(right, "b").filter(F.levenshtein("line_a", "line_b", EDITS) >= 0)
@@ -133,40 +136,44 @@ def near_firsts(lines: DataFrame) -> DataFrame:
 
 
 def _first_places(some: DataFrame) -> DataFrame:
-    """id, doc_id, pos, keys of every distinct line, at its first place."""
+    """id, doc_id, row, pos, keys of every distinct line, at its first place."""
     n = F.length("line")
-    own = _lines(some).select(F.xxhash64("line").alias("id"), n.alias("n"), "doc_id", "pos", _halves(n, F.col("line")).alias("keys"))
-    firsts = own.groupBy("id", "n").agg(F.min(F.struct("doc_id", "pos", "keys")).alias("best"))
+    own = _lines(some).select(F.xxhash64("line").alias("id"), n.alias("n"), "doc_id", "row", "pos", _halves(n, F.col("line")).alias("keys"))
+    firsts = own.groupBy("id", "n").agg(F.min(F.struct("doc_id", "row", "pos", "keys")).alias("best"))
     return written(firsts.select("id", "best.*"), "lines")
 
 
 def _suspects(some: DataFrame, firsts: DataFrame) -> DataFrame:
-    """id, doc_id, pos, line of the distinct lines that share a half with another one."""
+    """id, doc_id, row, pos, line of the distinct lines that share a half with another one."""
     keyed = firsts.select("id", F.explode("keys").alias("key"))
-    shared = keyed.withColumn("members", F.count("*").over(Window.partitionBy("key"))).filter("members > 1").select("id").distinct()
+    # counted with partial results: a half that very many lines share is one row of the look-up side
+    shared = keyed.groupBy("key").count().filter("count > 1").select("key")
+    members = keyed.join(shared, "key", "left_semi").select("id").distinct()
     # the first places of these lines are read again, with their text
-    wanted = firsts.join(shared, "id", "left_semi").select("id", F.col("doc_id").alias("at_doc"), "pos")
-    texts = some.join(wanted, F.col("doc_id").eqNullSafe(F.col("at_doc")))
-    near = texts.select("id", "doc_id", "pos", normal(F.get(F.split("text", "\n"), F.col("pos"))).alias("line")).filter(F.xxhash64("line") == F.col("id")).dropDuplicates(["id"])
+    wanted = firsts.join(members, "id", "left_semi").select("id", F.col("doc_id").alias("at_doc"), F.col("row").alias("at_row"), "pos")
+    texts = some.join(wanted, (F.col("row") == F.col("at_row")) & F.col("doc_id").eqNullSafe(F.col("at_doc")))
+    near = texts.select("id", "doc_id", "row", "pos", normal(F.get(F.split("text", "\n"), F.col("pos"))).alias("line")).filter(F.xxhash64("line") == F.col("id")).dropDuplicates(["id"])
     return written(near, "near-lines")
 
 
 def kept_places(docs: DataFrame) -> DataFrame:
-    """doc_id, places (sorted positions of the lines with a word that stay)."""
-    some = docs.select("doc_id", "text").filter("text IS NOT NULL")
+    """doc_id, row, places (sorted positions of the lines with a word that stay) of a numberable table."""
+    some = docs.select("doc_id", row_number(docs).alias("row"), "text").filter("text IS NOT NULL")
     firsts = _first_places(some)
     release(docs.sparkSession)
     near = _suspects(some, firsts)
     release(docs.sparkSession)
     gone = cut(near_firsts(near))
     release(docs.sparkSession)
-    return firsts.join(gone, "id", "left_anti").groupBy("doc_id").agg(F.sort_array(F.collect_list("pos")).alias("places"))
+    return firsts.join(gone, "id", "left_anti").groupBy("doc_id", "row").agg(F.sort_array(F.collect_list("pos")).alias("places"))
 
 
 def dedup_lines(docs: DataFrame) -> DataFrame:
     """The rows, columns as given, with repeated and near-repeated lines taken out of the text (n_chars, if given, follows)."""
-    key, held = fresh("line_doc", docs.columns), fresh("line_places", docs.columns)
-    both = docs.join(kept_places(docs).toDF(key, held), F.col("doc_id").eqNullSafe(F.col(key)), "left")
+    docs = numberable(docs)
+    key, row, at, held = (fresh(k, docs.columns) for k in ("line_doc", "line_row", "line_at", "line_places"))
+    rows = docs.select(*docs.columns, row_number(docs).alias(row))
+    both = rows.join(kept_places(docs).toDF(key, at, held), (F.col(row) == F.col(at)) & F.col("doc_id").eqNullSafe(F.col(key)), "left")
     places = F.coalesce(F.col(held), F.array().cast("array<int>"))
 
     def rebuilt(lines: Column) -> Column:
