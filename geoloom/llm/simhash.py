@@ -14,6 +14,8 @@ shared neighbour finds every link without any pair list.
 Edge cases: null and empty texts have fingerprint zero and link like others;
 repeated rows give repeated result rows; an empty table gives an empty result;
 rows with a null doc_id keep it and take the smallest id of their class.
+``keep_first`` keeps one row of each class: that with the smallest doc_id (null
+ids come last), and of rows with that id the first by its fixed place in the files.
 """
 
 from __future__ import annotations
@@ -27,7 +29,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import cut, fresh
+from .common import cut, fresh, numberable, row_number
 from .components import components
 
 WORDS, SEED, MAX_BITS = 3, 42, 2
@@ -56,16 +58,15 @@ def fingerprint(text: str | None, width: int = WORDS, seed: int = SEED) -> int:
 
 
 def fingerprints(docs: DataFrame, width: int = WORDS, seed: int = SEED) -> DataFrame:
-    """doc_id and fp (the fingerprint's bits as a signed long) of every row."""
+    """The given columns but the text, and fp (the fingerprint's bits as a signed long), of every row; ``text`` is the last column."""
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
-            fps = [fingerprint(t, width, seed) for t in b.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(np.array(fps, np.uint64).view(np.int64))], ["doc_id", "fp"])
+            fps = [fingerprint(t, width, seed) for t in b.column(b.num_columns - 1).to_pylist()]
+            yield pa.RecordBatch.from_arrays([*b.columns[:-1], pa.array(np.array(fps, np.uint64).view(np.int64))], [*b.schema.names[:-1], "fp"])
 
-    got = docs.select("doc_id", "text")
-    kind = got.schema["doc_id"].dataType.simpleString()
-    return got.mapInArrow(rows, f"doc_id {kind}, fp bigint")
+    kinds = ", ".join(f"{f.name} {f.dataType.simpleString()}" for f in docs.schema.fields[:-1])
+    return docs.mapInArrow(rows, f"{kinds}, fp bigint")
 
 
 def _variants(fps: DataFrame) -> DataFrame:
@@ -98,7 +99,7 @@ def links(fps: DataFrame) -> DataFrame:
 
 def near_duplicates(docs: DataFrame, width: int = WORDS, seed: int = SEED) -> DataFrame:
     """doc_id, fp, component_id of every row: classes of texts linked by fingerprints at most two bits apart."""
-    got = cut(fingerprints(docs, width, seed))
+    got = cut(fingerprints(docs.select("doc_id", "text"), width, seed))
     classes = got.groupBy("fp").agg(F.min("doc_id").alias("rep"))
     classes = cut(classes)
     joined = components(links(classes.select("fp")))
@@ -112,16 +113,15 @@ def near_duplicates(docs: DataFrame, width: int = WORDS, seed: int = SEED) -> Da
 
 
 def keep_first(docs: DataFrame) -> DataFrame:
-    """One document of each class stays: the one with the smallest doc_id (the first of its repeated rows); columns as given.
-
-    Rows with a null doc_id stay, as no id ranks them.
-    """
-    classes = near_duplicates(docs)
-    kept = classes.groupBy("component_id").agg(F.min("doc_id").alias("doc_id")).select("doc_id").filter("doc_id IS NOT NULL")
-    key, copy = fresh("kept_id", docs.columns), fresh("copy_no", docs.columns)
-    rows = docs.join(kept.withColumnRenamed("doc_id", key), F.col("doc_id") == F.col(key), "left").filter(F.col(key).isNotNull() | F.col("doc_id").isNull())
-    from pyspark.sql import Window
-
-    first = F.row_number().over(Window.partitionBy("doc_id").orderBy(F.xxhash64(*docs.columns)))
-    once = rows.withColumn(copy, F.when(F.col("doc_id").isNull(), 1).otherwise(first)).filter(F.col(copy) == 1)
-    return once.select(*docs.columns)
+    """One document of each class stays: the one with the smallest doc_id (the first of its rows); columns as given."""
+    docs = numberable(docs)
+    place = F.struct(F.col("doc_id").isNull().alias("none"), "doc_id", "row").alias("place")
+    got = fingerprints(docs.select("doc_id", row_number(docs).alias("row"), "text"))
+    # one row for each fingerprint, with partial results: a crowd of copies is one row
+    classes = cut(got.groupBy("fp").agg(F.min(place).alias("rep")))
+    joined = components(links(classes.select("fp")))
+    named = classes.join(joined, classes.fp == joined.node, "left").select("rep", F.coalesce("root", "fp").alias("root"))
+    key, row, kept_row = (fresh(k, docs.columns) for k in ("kept_id", "row", "kept_row"))
+    kept = named.groupBy("root").agg(F.min("rep").alias("rep")).select(F.col("rep.doc_id").alias(key), F.col("rep.row").alias(kept_row))
+    rows = docs.select(*docs.columns, row_number(docs).alias(row))
+    return rows.join(kept, (F.col(row) == F.col(kept_row)) & F.col("doc_id").eqNullSafe(F.col(key)), "left_semi").select(*docs.columns)
