@@ -2,13 +2,21 @@
 
 The base finds e-mail addresses, IPv4 addresses, payment cards and phone numbers
 by fixed patterns.  The method tags every character of every text: the text is
-cut into overlapping windows, a bidirectional LSTM gives the emissions of each
-window, transitions between tags are decoded per window by Viterbi, and the
-decoded windows are reconciled over the whole text (in an overlap, each window
-rules over the half nearer to its middle).  Runs of a tag become spans; a span
-is trimmed, must have the form of its kind, and is added unless it touches a
+cut into overlapping windows, and a bidirectional LSTM gives the emissions of
+each window.  The windows are reconciled over the whole text: in an overlap the
+emissions are averaged, each window's by its distance to the window's edge, and
+one Viterbi path is decoded over the whole text.  Runs of a tag become spans; a
+span is trimmed, must have the form of its kind, and is added unless it touches a
 base span.
 
+Decoding is exact and needs no pass over plain text: kinds never follow each
+other at once, so a path's score is the sum of what its spans gain over "none",
+and only places inside some span of positive gain can be tagged.  These places
+are found by running sums; the path is decoded between them.  Scores are rounded
+to ``1 / UNIT`` and summed as integers, each lane is computed apart (its own
+ends, no padding is read), so the spans of a text do not depend on the texts
+beside it.
+
 The network is trained in numpy, on the driver, from labelled spans that a
 seeded generator writes (``labelled``): ``STEPS`` batches, a fixed cost that
 does not depend on the data.  Its weights (about 10 kB) go to the tasks inside
@@ -130,7 +138,10 @@ def labelled(rng: np.random.Generator, n: int, length: int) -> tuple[np.ndarray,
         return "".join(map(str, rng.integers(0, 10, k)))
 
     def word():
-        w = "".join(pick(syllables) for _ in range(int(rng.integers(1, 4))))
+        if rng.random() < 0.6:
+            w = "".join(pick(syllables) for _ in range(int(rng.integers(1, 4))))
+        else:  # words of any letters
+            w = "".join(pick("bcdfghjklmnpqrstvwxyz") * int(rng.random() < 0.8) + pick("aeiouy") + pick("bcdfghjklmnpqrstvwxyz") * int(rng.random() < 0.5) for _ in range(int(rng.integers(1, 4))))
         r = rng.random()
         return w.upper() if r < 0.1 else w.title() if r < 0.25 else w
 
@@ -142,7 +153,7 @@ def labelled(rng: np.random.Generator, n: int, length: int) -> tuple[np.ndarray,
         return sep.join(d[i : i + 4] for i in range(0, len(d), 4))
 
     def email():
-        local = pick(["{}.{}", "{}{}", "{}_{}", "{}-{}", "{}.{}9"]).format(word(), num(int(rng.integers(1, 4))) if rng.random() < 0.6 else word())
+        local = pick(["{}.{}", "{}{}", "{}_{}", "{}-{}", "{}.{}9", "{}"]).format(word(), num(int(rng.integers(1, 4))) if rng.random() < 0.6 else word())
         host = ".".join([word().lower() + (num(1) if rng.random() < 0.3 else ""), *(["example"] if rng.random() < 0.5 else []), pick(["com", "org", "net", "fr", "de", "io"])])
         if rng.random() < 0.72:
             return local + "@" + host
@@ -235,16 +246,17 @@ def _lstm_backward(p: dict, d: str, x: np.ndarray, kept: list, dh_all: np.ndarra
 def _crf(e: np.ndarray, y: np.ndarray, A: np.ndarray) -> tuple[float, np.ndarray, np.ndarray]:
     """Negative log-likelihood of tags y (T, B) under emissions e (T, K, B) and transitions A, with gradients."""
     T, K, B = e.shape
-    al = np.empty((T, K, B))
+    grow = np.exp(A)
+    al, m = np.empty((T, K, B)), np.empty((T, B))
     al[0] = e[0]
     for t in range(1, T):
-        m = al[t - 1].max(0)
-        al[t] = e[t] + m + np.log(np.einsum("jk,jb->kb", np.exp(A), np.exp(al[t - 1] - m)) + 1e-300)
+        m[t] = al[t - 1].max(0)
+        al[t] = e[t] + m[t] + np.log(grow.T @ np.exp(al[t - 1] - m[t]) + 1e-300)
     be = np.zeros((T, K, B))
     for t in range(T - 2, -1, -1):
         v = e[t + 1] + be[t + 1]
-        m = v.max(0)
-        be[t] = m + np.log(np.einsum("jk,kb->jb", np.exp(A), np.exp(v - m)) + 1e-300)
+        top = v.max(0)
+        be[t] = top + np.log(grow @ np.exp(v - top) + 1e-300)
     top = al[-1].max(0)
     z = top + np.log(np.exp(al[-1] - top).sum(0))
     post = np.exp(al + be - z)
@@ -252,10 +264,9 @@ def _crf(e: np.ndarray, y: np.ndarray, A: np.ndarray) -> tuple[float, np.ndarray
     gold = e[rows, y, lanes].sum(0) + A[y[:-1], y[1:]].sum(0)
     de = post.copy()
     de[rows, y, lanes] -= 1
-    dA = np.zeros_like(A)
-    for t in range(1, T):
-        dA += np.einsum("jb,kb->jk", np.exp(al[t - 1] - z), np.exp(e[t] + be[t])) * np.exp(A)
-        np.add.at(dA, (y[t - 1], y[t]), -1)
+    before, after = np.exp(al[:-1] - z), np.exp(e[1:] + be[1:])
+    dA = np.einsum("tjb,tkb->jk", before, after, optimize=True) * grow
+    dA -= np.bincount((y[:-1] * K + y[1:]).ravel(), minlength=K * K).reshape(K, K)
     return float((z - gold).sum()), de.astype(np.float32), dA
 
 
@@ -293,7 +304,8 @@ def train(seed: int = SEED, steps: int = STEPS, batch: int = BATCH, length: int
         dh = np.einsum("kh,tkb->thb", p["O"], de)
         dx = _lstm_backward(p, "f", x, kf, dh[:, :H], g)
         dx += _lstm_backward(p, "b", x[::-1], kb, np.ascontiguousarray(dh[::-1, H:]), g)[::-1]
-        np.add.at(g["emb"], xs.ravel(), dx.transpose(0, 2, 1).reshape(-1, E))
+        flat = dx.transpose(0, 2, 1).reshape(-1, E)
+        g["emb"] += np.stack([np.bincount(xs.ravel(), flat[:, j], CLASSES) for j in range(E)], axis=1)
         norm = np.sqrt(sum(float((v * v).sum()) for v in g.values()))
         rate = 0.02 * min(1.0, 2.0 * (1 - step / (steps + 1)))
         for k in p:
@@ -314,25 +326,35 @@ def model(seed: int = SEED, steps: int = STEPS) -> dict[str, np.ndarray]:
     return _TRAINED[seed, steps]
 
 
+#: Scores are multiples of 1 / UNIT.
+UNIT = 1024
+
+
 class Tagger:
-    """Tags windows of classes, many at a time."""
+    """Tags texts of classes, many windows at a time."""
 
     def __init__(self, p: dict[str, np.ndarray]):
-        H, E = HIDDEN, EMBED
-        self.p, self.emb = p, np.ascontiguousarray(p["emb"].T)
+        H, A = HIDDEN, p["A"]
+        self.emb = np.ascontiguousarray(p["emb"].T)
         half = np.ones((4 * H, 1), np.float32)
         half[: 3 * H] = 0.5  # a logistic gate is a tanh of half its input
         self.M = {d: np.ascontiguousarray(np.concatenate([p[d + "W"], p[d + "U"], p[d + "b"][:, None]], axis=1) * half) for d in "fb"}
-        self.O = np.concatenate([p["O"], p["ob"][:, None]], axis=1)
-        self.E = E
-
-    def _states(self, d: str, xs: np.ndarray, out: np.ndarray) -> None:
-        """xs (T, B) → hidden states into out (T, H, B), in the order of xs."""
+        # what each kind leads "none" by, from the states of either direction
+        lead = p["O"][1:] - p["O"][0]
+        self.O = {"f": np.ascontiguousarray(lead[:, :H]), "b": np.ascontiguousarray(lead[:, H:])}
+        self.bias = p["ob"][1:] - p["ob"][0]
+        # what a span gains by beginning, going on and ending, over no span there
+        unit = lambda v: [int(round(float(x) * UNIT)) for x in v]
+        self.start, self.stay, self.end = unit(A[0, 1:] - A[0, 0]), unit(np.diag(A)[1:] - A[0, 0]), unit(A[1:, 0] - A[0, 0])
+
+    def _half(self, d: str, xs: np.ndarray) -> np.ndarray:
+        """xs (T, B), read from the top → what the states of one direction add to the leads, (B, T, kinds)."""
         T, B = xs.shape
-        H, E, M = HIDDEN, self.E, self.M[d]
+        H, E, M, O = HIDDEN, EMBED, self.M[d], self.O[d]
         u = np.zeros((E + H + 1, B), np.float32)
         u[-1] = 1
         c, tmp, z = np.zeros((H, B), np.float32), np.empty((H, B), np.float32), np.empty((4 * H, B), np.float32)
+        out = np.empty((T, len(O), B), np.float32)
         for t in range(T):
             np.take(self.emb, xs[t], axis=1, out=u[:E], mode="clip")
             np.matmul(M, u, out=z)
@@ -345,50 +367,97 @@ class Tagger:
             c += tmp
             np.tanh(c, out=tmp)
             np.multiply(z[2 * H : 3 * H], tmp, out=u[E : E + H])
-            out[t] = u[E : E + H]
+            np.matmul(O, u[E : E + H], out=out[t])
+        return np.ascontiguousarray(out.transpose(2, 0, 1))
+
+    def window_leads(self, parts: list[np.ndarray]) -> list[np.ndarray]:
+        """What each kind leads "none" by, (n, kinds), for windows of classes. Each lane begins with its own window in both directions."""
+        T, B = max(map(len, parts)), -(-len(parts) // 64) * 64
+        ahead, back = np.zeros((T, B), np.uint8), np.zeros((T, B), np.uint8)
+        for r, x in enumerate(parts):
+            ahead[: len(x), r], back[: len(x), r] = x, x[::-1]
+        f, b = self._half("f", ahead), self._half("b", back)
+        return [f[r, : len(x)] + b[r, : len(x)][::-1] + self.bias for r, x in enumerate(parts)]
+
+    def leads(self, coded: list[np.ndarray]) -> list[np.ndarray]:
+        """What each kind leads "none" by at every character of every text, the windows' overlaps averaged."""
+        out: list[np.ndarray] = [np.zeros((len(c), len(KINDS)), np.float32) for c in coded]
+        weight: dict[int, np.ndarray] = {}
+        jobs = sorted((e - s, k, s, e) for k, c in enumerate(coded) for s, e in windows(len(c)))
+        for at in range(0, len(jobs), LANES):
+            lot = jobs[at : at + LANES]
+            for (n, k, s, e), got in zip(lot, self.window_leads([coded[k][s:e] for _, k, s, e in lot])):
+                size = len(coded[k])
+                if n == size:
+                    out[k] = got
+                    continue
+                i = np.arange(n, dtype=np.float32)
+                w = np.minimum(i + 1 if s else np.float32(WINDOW), n - i if e < size else np.float32(WINDOW))
+                total = weight.setdefault(k, np.zeros(size, np.float32))
+                # summed as multiples of a power of two, so the order of the windows plays no part
+                out[k][s:e] += np.rint(got * 64) * w[:, None]
+                total[s:e] += w
+        for k, total in weight.items():
+            out[k] /= 64 * total[:, None]
+        return out
 
-    def tags(self, xs: np.ndarray) -> np.ndarray:
-        """xs (T, B) classes → tags (T, B), the best path of each lane."""
-        T, B = xs.shape
-        H, A = HIDDEN, self.p["A"]
-        h = np.empty((2, T, H, B), np.float32)
-        self._states("f", xs, h[0])
-        self._states("b", xs[::-1], h[1])
-        e = np.empty((T, TAGS, B), np.float32)
-        u = np.ones((2 * H + 1, B), np.float32)
-        best = None
-        plain = np.zeros(B, np.float32)  # score of the path without any span
-        grow = np.zeros((T, TAGS - 1, B), bool)  # a kind's tag follows no tag rather than itself
-        stop = np.zeros((T, B), np.uint8)  # the tag before "none"
-        to_o, in_k, from_o = A[:, 0][:, None], np.diag(A)[1:, None], A[0, 1:][:, None]
-        for t in range(T):
-            u[:H], u[H : 2 * H] = h[0, t], h[1, T - 1 - t]
-            now = np.matmul(self.O, u, out=e[t])
-            if best is None:
-                best, plain = now.copy(), now[0].copy()
-                continue
-            leave = best + to_o
-            stop[t] = leave.argmax(0)
-            start, stay = best[0] + from_o, best[1:] + in_k
-            np.greater(start, stay, out=grow[t])
-            nxt = np.empty_like(best)
-            leave.max(0, out=nxt[0])
-            np.maximum(start, stay, out=nxt[1:])
-            nxt += now
-            plain += A[0, 0] + now[0]
-            best = nxt
-        tags = np.zeros((T, B), np.uint8)
-        last = best.argmax(0)
-        lanes = np.flatnonzero((last > 0) | (best[0] > plain + 1e-3 * T**0.5))
-        if len(lanes):
-            state, grow, stop = last[lanes].astype(np.int64), grow[:, :, lanes], stop[:, lanes]
-            rows = np.arange(len(lanes))
-            for t in range(T - 1, -1, -1):
-                tags[t, lanes] = state
-                if t:
-                    prev = np.where(grow[t, np.maximum(state - 1, 0), rows], 0, state)
-                    state = np.where(state == 0, stop[t], prev)
-        return tags
+    def runs(self, lead: np.ndarray) -> list[tuple[int, int, int]]:
+        """(kind, start, end) of the spans of the best path over a whole text, by their places."""
+        n = len(lead)
+        if not n:
+            return []
+        q = np.rint(lead * UNIT).astype(np.int64)
+        stay, begin, leave = np.array(self.stay), np.array(self.start), np.array(self.end)
+        total = np.cumsum(q + stay, axis=0)
+        # a span [a, b] gains low_end[b] - high_start[a] - stay
+        opened = total - (q + stay) - begin
+        opened[0] += begin
+        closed = total + leave
+        closed[-1] -= leave
+        best_end = np.maximum.accumulate(closed[::-1], axis=0)[::-1]
+        inside = (best_end - np.minimum.accumulate(opened, axis=0) > stay).any(axis=1)
+        if not inside.any():
+            return []
+        edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
+        return [r for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()) for r in self._path(q[a:b].tolist(), a, a == 0, b == n)]
+
+    def _path(self, q: list[list[int]], at: int, first: bool, last: bool) -> list[tuple[int, int, int]]:
+        """The spans of the best path over some places with none before and after (unless the text begins or ends there); ties go to "none"."""
+        kinds, start, stay, end = range(len(KINDS)), self.start, self.stay, self.end
+        none, own, opened = 0, [None] * len(KINDS), [0] * len(KINDS)
+        closed_by: list[tuple[int, int] | None] = []  # at each place: (kind, start) of a span that ends before it, where "none" is best reached so
+        starts: list[list[int]] = []
+        for t, row in enumerate(q):
+            came, least = None, none
+            for k in kinds:
+                if own[k] is not None and own[k] + end[k] > least:
+                    came, least = (k, opened[k]), own[k] + end[k]
+            for k in kinds:
+                fresh = none + (0 if first and t == 0 else start[k])
+                if own[k] is not None and own[k] + stay[k] > fresh:
+                    own[k] += stay[k] + row[k]
+                else:
+                    own[k], opened[k] = fresh + row[k], t
+            none = least
+            closed_by.append(came)
+            starts.append(opened.copy())
+        t, out = len(q) - 1, []
+        tail, final = None, none
+        for k in kinds:
+            v = own[k] + (0 if last else end[k])
+            if v > final:
+                tail, final = (k, opened[k]), v
+        while True:
+            if tail is not None:
+                k, a = tail
+                out.append((k, at + a, at + t + 1))
+                t = a - 1
+            # the place before is "none": go back to where it was last reached from a span
+            while t >= 0 and closed_by[t] is None:
+                t -= 1
+            if t < 0:
+                return out[::-1]
+            tail, t = closed_by[t], t - 1
 
 
 def windows(n: int, window: int = WINDOW, stride: int = STRIDE) -> list[tuple[int, int]]:
@@ -399,42 +468,6 @@ def windows(n: int, window: int = WINDOW, stride: int = STRIDE) -> list[tuple[in
     return [(s, s + window) for s in starts]
 
 
-def tag_texts(tagger: Tagger, coded: list[np.ndarray]) -> list[np.ndarray]:
-    """Tags of every character of every text: all windows are tagged, then each character gets the tag of the window whose middle is nearer."""
-    out = [np.zeros(len(c), np.uint8) for c in coded]
-    jobs = [(e - s, k, s, e) for k, c in enumerate(coded) for s, e in windows(len(c))]
-    jobs.sort()
-    at = 0
-    while at < len(jobs):
-        lot = jobs[at : at + LANES]
-        at += LANES
-        T = lot[-1][0]
-        xs = np.zeros((len(lot), T), np.uint8)
-        for r, (n, k, s, e) in enumerate(lot):
-            xs[r, :n] = coded[k][s:e]
-        tags = tagger.tags(np.ascontiguousarray(xs.T)).T
-        for r in np.flatnonzero(tags.any(1)):
-            n, k, s, e = lot[r]
-            size = len(out[k])
-            # the part over which this window rules
-            a = s if s == 0 else s + (s_over(s, size) + 1) // 2
-            b = e if e == size else e - s_over_next(s, size) // 2
-            out[k][a:b] = tags[r, a - s : b - s]
-    return out
-
-
-def s_over(start: int, size: int) -> int:
-    """Characters that the window at ``start`` shares with the one before it."""
-    before = start - STRIDE if start != size - WINDOW or start % STRIDE == 0 else start // STRIDE * STRIDE
-    return before + WINDOW - start
-
-
-def s_over_next(start: int, size: int) -> int:
-    """Characters that the window at ``start`` shares with the one after it."""
-    after = min(start + STRIDE, size - WINDOW)
-    return start + WINDOW - after
-
-
 _LOOSE_MAIL = re.compile(r"[A-Za-z0-9._%+-]+\s*(?:@|[\[(]\s*at\s*[\])]|\sat\s)\s*[A-Za-z0-9-]+(?:\s*(?:\.|[\[(]\s*(?:dot|\.)\s*[\])]|\sdot\s)\s*[A-Za-z0-9-]+)+", re.I)
 _LOOSE_IP = re.compile(r"[0-9]{1,3}(?:\s*[\[(]?\s*\.\s*[\])]?\s*[0-9]{1,3}){3}")
 _LOOSE_PHONE = re.compile(r"\+?\(?[0-9]{1,4}(?:[\s().-]+[0-9]{2,})+")
@@ -465,20 +498,12 @@ def form(text: str, kind: int, s: int, e: int) -> tuple[int, int] | None:
     return a, b
 
 
-def all_spans(text: str, tags: np.ndarray, base: list[list[tuple[int, int]]]) -> list[list[tuple[int, int]]]:
+def all_spans(text: str, runs: list[tuple[int, int, int]], base: list[list[tuple[int, int]]]) -> list[list[tuple[int, int]]]:
     """Base spans, and tagged runs of the right form that touch none of them nor each other."""
     out = [list(x) for x in base]
-    if not tags.any():
-        return out
     taken = sorted(x for k in base for x in k)
-    edges = np.flatnonzero(np.diff(tags, prepend=0, append=0))
-    for s, e in zip(edges[:-1], edges[1:]):
-        kind = int(tags[s]) - 1
-        if kind < 0:
-            continue
-        if any(a < e and s < b for a, b in taken):
-            continue
-        got = form(text, kind, int(s), int(e))
+    for kind, s, e in runs:
+        got = form(text, kind, s, e)
         if got and not any(a < got[1] and got[0] < b for a, b in taken):
             out[kind].append(got)
             taken.append(got)
@@ -499,10 +524,10 @@ def found(docs: DataFrame, weights: dict[str, np.ndarray] | None = None) -> Data
             for at in range(0, max(1, whole.num_rows), 1024):
                 b = whole.slice(at, 1024)
                 texts = [t or "" for t in b.column(1).to_pylist()]
-                tags = tag_texts(tagger, [classes(t) for t in texts])
+                tagged = [tagger.runs(x) for x in tagger.leads([classes(t) for t in texts])]
                 base = [base_spans(t) for t in texts]
                 digest = [hashlib.sha256(spelled(x).encode()).hexdigest() for x in base]
-                more = [spelled(all_spans(t, g, x)) for t, g, x in zip(texts, tags, base)]
+                more = [spelled(all_spans(t, g, x)) for t, g, x in zip(texts, tagged, base)]
                 counts = [pa.array([len(x[k]) for x in base], pa.int64()) for k in range(4)]
                 yield pa.RecordBatch.from_arrays([b.column(0), *counts, pa.array(digest, pa.string()), pa.array(more, pa.string())], ["doc_id", "n_email", "n_ip", "n_card", "n_phone", "base_sha256", "spans"])
 
