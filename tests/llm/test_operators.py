@@ -9,6 +9,7 @@ import random
 import re
 import zlib
 from collections import Counter, defaultdict
+from fractions import Fraction
 
 import numpy as np
 import pytest
@@ -315,25 +316,56 @@ def test_lattice_sums_all_segmentations():
     assert math.isfinite(m.log_prob("a" * 5000))
 
 
+def brute_lattice(m, word):
+    """log10 of the summed weight of all segmentations, by powers of a large number (exact in range)."""
+    s = "▁" + word
+    ways = [Fraction(1)] + [Fraction(0)] * len(s)
+    for j in range(1, len(s) + 1):
+        for i in range(max(0, j - 40), j):
+            w = m.arcs.get(s[i:j])
+            if w is None and j - i == 1:
+                k = len(s[i].encode())
+                w = k * m.byte + (k - 1) * m.go
+            if w is not None:
+                ways[j] += ways[i] * Fraction(math.exp(w)) * (Fraction(math.exp(m.go)) if i else 1)
+        ways[j] = ways[j].limit_denominator(10**400)
+    top = ways[-1] * Fraction(math.exp(m.stop))
+    return (math.log(top.numerator) - math.log(top.denominator)) / math.log(10)
+
+
 def test_lm_counts_and_scores(spark, odd, none):
+    m = lattice_lm.lattice(queries.PIECES)
+    marginal = {"": m.stop / math.log(10)}
     for df in (odd, docs(spark)):
         rows = df.select("doc_id", "text").collect()
-        toks = [[w.encode().lower() for w in words_of(r.text)] + [b""] for r in rows]
+        toks = [[w.encode().lower().decode() for w in words_of(r.text)] + [""] for r in rows]
         held = [zlib.crc32(("" if r.doc_id is None else str(r.doc_id)).encode()) % 5 == 1 for r in rows]
         c = Counter(w for t, h in zip(toks, held) if not h for w in t)
         n, v = sum(c.values()), len(c)
-        first = lattice_lm.lattice(queries.PIECES)
-        counts = Counter(p for w in c if w for p in first.pieces_of(w.decode()))
-        m = lattice_lm.Lattice(queries.PIECES, counts, len(c) - 1)
-        lat = lambda w: m.log_prob(w.decode()) if w else m.stop
-        want = Counter((r.doc_id, h, len(t), sum(c[w] > 0 for w in t), n, round(sum(math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))) for w in t), 4), round(sum(math.log10((c[w] + v * math.exp(lat(w))) / (n + v)) if len(w) < 100 else 0 for w in t), 4)) for r, h, t in zip(rows, held, toks))
+        for w in {w for t in toks for w in t} - set(marginal):
+            marginal[w] = m.log_prob(w) / math.log(10)
+        corpus = lambda w: math.log10(c[w] + v * 10 ** marginal[w]) - math.log10(n + v) if c[w] or marginal[w] > -300 else marginal[w] + math.log10(v / (n + v))
+        want = Counter((r.doc_id, h, len(t), sum(c[w] > 0 for w in t), n, *(round(sum(f(w) for w in t), 4) for f in (lambda w: math.log10((c[w] + 0.5) / (n + 0.5 * (v + 1))), marginal.get, corpus))) for r, h, t in zip(rows, held, toks))
         got = lattice_lm.scored(df, queries.PIECES).collect()
-        mine = Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4), round(r.score, 4)) for r in got)
-        assert len(got) == len(rows) and len(mine - want) <= (1 if df is odd else 0)  # the one very long word underflows in the brute-force version
-        assert all(math.isfinite(r.score) for r in got)
+        assert Counter((r.doc_id, r.held_out, r.n_tokens, r.n_known, r.train_tokens, round(r.base_score, 4), round(r.score, 4), round(r.corpus_score, 4)) for r in got) == want
+        assert all(math.isfinite(r.score) and math.isfinite(r.corpus_score) for r in got)
+    # the marginals themselves, against sums over all segmentations under the file's weights
+    for w in random.Random(3).sample([w for w in sorted(marginal) if 0 < len(w) < 40], 60):
+        assert marginal[w] == pytest.approx(brute_lattice(m, w), abs=1e-6)
     assert lattice_lm.scored(none, queries.PIECES).count() == 0
 
 
+def test_lm_weights_are_those_of_the_file():
+    import sentencepiece
+
+    m, sp = lattice_lm.lattice(queries.PIECES), sentencepiece.SentencePieceProcessor(model_file=queries.PIECES)
+    ids = [i for i in range(sp.get_piece_size()) if not (sp.is_control(i) or sp.is_unknown(i) or sp.is_byte(i))]
+    top = m.arcs[sp.id_to_piece(ids[0])]
+    for i in ids[:: 500]:
+        assert m.arcs[sp.id_to_piece(i)] - top == pytest.approx(math.log((1 - sp.get_score(ids[0])) / (1 - sp.get_score(i))))
+    assert sum(math.exp(w) for w in m.arcs.values() if w is not None) + 256 * math.exp(m.byte) == pytest.approx(1)
+
+
 def test_lm_prefers_text_to_shuffled_letters(spark):
     """The same held-out texts with each word's letters turned round are less probable, though the base can't tell most of them apart."""
     d = docs(spark)
