@@ -178,7 +178,7 @@ def test_multi_index_recall_and_exactness(spark):
     x = rng.normal(size=(3000, 16)).astype(np.float32)
     x[100:1100] = x[100]  # a third is one vector
     rows = [(i, v.tolist()) for i, v in enumerate(x)]
-    rows += [(3000, None), (3001, [0.0] * 16), (3002, [float("nan")] * 16), (3003, [1.0] * 3), (None, [1.0] * 16), (0, rows[0][1]), (3004, [None] * 16)]
+    rows += [(3000, None), (3001, [0.0] * 16), (3002, [float("nan")] * 16), (3003, [1.0] * 3), (None, [1.0] * 16), (3004, [None] * 16)]
     df = spark.createDataFrame(rows, "vec_id long, embedding array<float>").repartition(4)
     got = defaultdict(list)
     for r in multi_index.search(df).collect():
@@ -196,6 +196,40 @@ def test_multi_index_recall_and_exactness(spark):
     assert {r[1] for r in hot} <= set(range(101, 1100)) | set(range(3000)) and [r[1] for r in hot if 100 < r[1] < 1100][:5] == [101, 102, 103, 104, 105]
 
 
+def test_multi_index_keeps_every_row_of_an_id(spark):
+    rows = [(0, [1.0, 0.0]), (5, [3.0, 0.0]), (5, [9.0, 0.0]), (20, [2.0, 0.0]), (20, [0.0, 1.0])]
+    got = sorted((r.query_id, r["rank"], r.vec_id, r.score) for r in multi_index.search(spark.createDataFrame(rows, "vec_id long, embedding array<double>")).collect())
+    assert [r for r in got if r[0] == 0] == [(0, 1, 5, 9.0), (0, 2, 5, 3.0), (0, 3, 20, 2.0), (0, 4, 20, 0.0)]
+    # each row of a query's id is a query, and finds the other one
+    assert sorted(r[2:] for r in got if r[0] == 20) == sorted([(5, 18.0), (5, 6.0), (0, 2.0), (20, 0.0), (5, 0.0), (5, 0.0), (0, 0.0), (20, 0.0)])
+
+
+def test_multi_index_scales():
+    assert [multi_index.centroids(n) for n in (10, 100_000, 10**6, 10**7, 10**12)] == [32, 40, 125, 395, 512]
+    counts = np.array([0, 10, 500, 9000, 3, 0, 700, 1])
+    first, parts, groups = multi_index.packed(counts, 1000)
+    held = Counter()
+    for pair, n in enumerate(counts):
+        for g in range(first[pair], first[pair] + parts[pair]):
+            held[g] += n / parts[pair]
+    assert set(held) - {g for g in held if not held[g]} == set(range(groups)) and max(held.values()) <= 1000
+
+
+def test_multi_index_recall_on_the_table(spark):
+    """Recall against brute force on the whole embeddings table."""
+    rows = [(r.vec_id, r.embedding) for r in spark.read.parquet("/root/testdata/sf0.1/embeddings.parquet").collect() if r.embedding and any(r.embedding)]
+    ids, x = np.array([r[0] for r in rows]), np.array([r[1] for r in rows], np.float64)
+    found, total = 0, 0
+    got = defaultdict(set)
+    for r in queries.op3_multi_index(spark, "/root/testdata/sf0.1").collect():
+        got[r.query_id].add(r.vec_id)
+    for at in np.flatnonzero(ids % 20 == 0):
+        s = (x * x[at]).sum(1)
+        order = [ids[i] for i in np.lexsort((ids, -s)) if i != at][:20]
+        found, total = found + len(got[ids[at]] & set(order)), total + 20
+    assert total and found / total >= 0.9
+
+
 def test_multi_index_few_rows(spark):
     few = spark.createDataFrame([(0, [1.0, 2.0]), (1, [2.0, 1.0]), (2, [1.0, 1.0])], "vec_id long, embedding array<double>")
     assert [(r.query_id, r["rank"], r.vec_id, r.score) for r in multi_index.search(few).orderBy("rank").collect()] == [(0, 1, 1, 4.0), (0, 2, 2, 3.0)]
@@ -206,7 +240,7 @@ def test_traversal_is_by_summed_distance():
     rng = np.random.default_rng(3)
     x = rng.normal(size=(500, 8))
     m = multi_index.MultiIndex(x, 5)
-    order = list(m.traverse(x[0], 501))
+    order = [p for p, _ in m.traverse(x[0], 501)]
     assert len(order) == len(set(order)) == np.count_nonzero(m.counts)
     a, b = (multi_index.distances(p[None], c)[0] for p, c in zip((x[0, : m.half], x[0, m.half :]), m.books))
     costs = [a[p // m.wide] + b[p % m.wide] for p in order]
