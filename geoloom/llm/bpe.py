@@ -15,8 +15,13 @@ merge list) and derives from the merge list alone
 token with which the encoding of the prefix can end.  All continuations pass
 through one of the last ``reach`` positions; what their backward chains have in
 common is stable, is emitted and forgotten, so memory stays constant for words
-of any length.  ``Decoder`` turns ids into text with a byte-to-text automaton
-that holds at most an unfinished UTF-8 sequence.
+of any length.  ``Decoder`` turns ids into text as they come: tokens give bytes,
+and a byte-to-text automaton gives the text, whose state is whether a token came
+before and at most an unfinished UTF-8 sequence.  Two tables of bytes drive it:
+the spelling of the tokens with a blank between, which is how the public library
+decodes with a file that names no decoder (``decoded_sha256``), and the running
+text, where a word end is a blank (``text_sha256``).  Texts are read in blocks of
+about ``BLOCK`` characters, cut before white space.
 
 Edge cases: null and empty texts give no token; texts of any length are read
 whole; special tokens' strings in a text become their ids, as the public
@@ -84,6 +89,17 @@ class Merges:
                 self.tails.setdefault(s[n:], -1)
         pattern = next(p["pattern"]["Regex"] for p in spec["pre_tokenizer"]["pretokenizers"] if p["type"] == "Split")
         self.split = regex.compile(pattern)
+        #: Bytes of each id: its spelling, and what it says in running text.
+        size = max(self.names) + 1
+        self.spellings, self.running = np.full(size, b"", object), np.full(size, b"", object)
+        byte_of = {c: b for b, c in enumerate(letters)}
+        for i, name in self.names.items():
+            self.spellings[i] = name.encode("utf-8")
+            if i in self.special.values():
+                self.running[i] = self.spellings[i]
+            else:
+                word = name.removesuffix(END)
+                self.running[i] = bytes(map(byte_of.__getitem__, word)) + b" " * (word != name)
         #: Pairs judged before.
         self.known: dict[tuple[int, int], bool] = {}
 
@@ -208,30 +224,33 @@ def encode_word(m: Merges, word: bytes) -> list[int]:
 
 
 class Decoder:
-    """ids → text.  ``spelled`` writes token spellings with a blank between, as the file asks for (it names no decoder);
-    ``feed`` gives the running text: bytes go through a UTF-8 automaton, a word end becomes a blank."""
-
-    def __init__(self, merges: Merges):
-        self.m = merges
-        self.bytes_of = {c: b for b, c in enumerate(byte_letters())}
-        self.state = codecs.getincrementaldecoder("utf-8")("replace")
-
-    def feed(self, token: int) -> str:
-        name = self.m.names[token]
-        if token in self.m.special.values():
-            return self.state.decode(b"", True) + name
-        ends = name.endswith(END)
-        raw = bytes(self.bytes_of[c] for c in (name[: -len(END)] if ends else name))
-        return self.state.decode(raw, ends) + " " * ends
+    """ids → text, in any portions: feed() gives the text that the ids so far make certain, finish() what is left."""
+
+    def __init__(self, merges: Merges, spelled: bool = False):
+        self.bytes_of = merges.spellings if spelled else merges.running
+        self.gap = b" " if spelled else b""
+        self.utf8 = codecs.getincrementaldecoder("utf-8")("replace")
+        self.begun = False
+
+    def feed(self, ids: np.ndarray) -> str:
+        if not len(ids):
+            return ""
+        raw = self.gap.join(self.bytes_of[ids].tolist())
+        if self.begun:
+            raw = self.gap + raw
+        self.begun = True
+        return self.utf8.decode(raw)
 
     def finish(self) -> str:
-        return self.state.decode(b"", True)
-
-    def spelled(self, ids: list[int]) -> Iterator[str]:
-        for k, t in enumerate(ids):
-            yield (" " if k else "") + self.m.names[t]
+        self.begun = False
+        left = self.utf8.decode(b"", True)
+        self.utf8.reset()
+        return left
 
 
+#: Characters of a text that are read at once; and of a chunk without white space that is encoded in portions.
+BLOCK, LONG = 1 << 20, 1 << 14
+_BLANK = regex.compile(r"\s")
 #: Space, as Unicode has it, is what str.split() takes but for these four controls.
 _ODD = regex.compile(r"[\x1c-\x1f]")
 
@@ -244,8 +263,7 @@ class Codec:
 
     def __init__(self, path: str):
         self.m = Merges(path)
-        self.decoder = Decoder(self.m)
-        self.spelling = np.array([self.m.names[i].encode("utf-8") for i in range(max(self.m.names) + 1)], object)
+        self.spelled, self.running = Decoder(self.m, spelled=True), Decoder(self.m)
         self.encoder = Encoder(self.m)
         self.first: dict[str, bytes] = {}
         self.young: dict[str, bytes] = {}
@@ -289,15 +307,39 @@ class Codec:
                 self.young[chunk] = got
         return got
 
-    def _plain(self, text: str) -> Iterator[bytes]:
-        if not text.isascii():
-            text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
-        text = text.lower()
-        chunks = regex.split(r"\s+", text) if _ODD.search(text) else text.split()
-        first, new = self.first.get, self._new
-        for at in range(0, len(chunks), 65536):
-            known = self.young.get
-            yield b"".join([first(c) or known(c) or new(c) for c in chunks[at : at + 65536]])
+    def _long(self, chunk: str) -> Iterator[bytes]:
+        """ids of a chunk of any length, a portion at a time."""
+        for m in self.m.split.finditer(chunk):
+            raw = m[0].encode("utf-8", "surrogatepass")
+            symbols = raw[:-1].decode("latin-1") + chr(raw[-1] + 256)
+            for at in range(0, len(symbols), BLOCK):
+                ids = self.encoder.feed(symbols[at : at + BLOCK])
+                yield pack(f"<{len(ids)}I", *ids)
+            ids = self.encoder.finish()
+            yield pack(f"<{len(ids)}I", *ids)
+
+    def _plain(self, whole: str) -> Iterator[bytes]:
+        at, size = 0, len(whole)
+        while at < size:
+            # a block ends before white space; no normalisation goes across it
+            found = _BLANK.search(whole, at + BLOCK) if at + BLOCK < size else None
+            end = found.start() if found else size
+            text, at = whole[at:end], end
+            if not text.isascii():
+                text = unicodedata.normalize("NFC", text).replace("Σ", "σ")
+            text = text.lower()
+            chunks = regex.split(r"\s+", text) if _ODD.search(text) else text.split()
+            first, known, new = self.first.get, self.young.get, self._new
+            if len(text) > LONG and max(map(len, chunks), default=0) > LONG:
+                for c in chunks:
+                    if len(c) > LONG:
+                        yield from self._long(c)
+                    else:
+                        yield first(c) or new(c)
+                continue
+            for k in range(0, len(chunks), 65536):
+                known = self.young.get
+                yield b"".join([first(c) or known(c) or new(c) for c in chunks[k : k + 65536]])
 
     def pieces(self, text: str | None) -> Iterator[bytes]:
         """ids of the text as little-endian 32-bit numbers, in lots of bounded size."""
@@ -321,19 +363,21 @@ class Codec:
         return pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.Array.from_buffers(pa.int32(), ends[-1], [None, pa.py_buffer(b"".join(raw))]))
 
     def decode(self, ids: list[int]) -> str:
-        return "".join(self.decoder.spelled(ids))
+        return self.spelled.feed(np.array(ids, np.int64)) + self.spelled.finish()
 
-    def digest(self, text: str | None) -> tuple[int, str, str]:
-        """Number of tokens, SHA-256 of the ids and of the decoded text; both streams are hashed as they come."""
-        ids, spelled, n, spelling = hashlib.sha256(), hashlib.sha256(), 0, self.spelling
+    def digest(self, text: str | None) -> tuple[int, str, str, str]:
+        """Number of tokens, SHA-256 of the ids, of the spelled and of the running text; all streams are hashed as they come."""
+        ids, n = hashlib.sha256(), 0
+        texts = [(d, hashlib.sha256()) for d in (self.spelled, self.running)]
         for raw in self.pieces(text):
-            if raw:
-                ids.update(raw)
-                # the lot's ids are decoded again: spellings with a blank between
-                line = b" ".join(spelling[np.frombuffer(raw, "<u4")].tolist())
-                spelled.update(b" " + line if n else line)
-                n += len(raw) // 4
-        return n, ids.hexdigest(), spelled.hexdigest()
+            ids.update(raw)
+            got = np.frombuffer(raw, "<u4")
+            n += len(got)
+            for decoder, digest in texts:
+                digest.update(decoder.feed(got).encode("utf-8"))
+        for decoder, digest in texts:
+            digest.update(decoder.finish().encode("utf-8"))
+        return n, ids.hexdigest(), *(digest.hexdigest() for _, digest in texts)
 
 
 _CODECS: dict[str, Codec] = {}
@@ -347,12 +391,12 @@ def codec(path: str) -> Codec:
 
 
 def encoded(docs: DataFrame, path: str, ids: bool = False) -> DataFrame:
-    """doc_id, n_tokens, ids_sha256, decoded_sha256 of every row's whole text (and ``ids`` if asked for)."""
+    """doc_id, n_tokens, ids_sha256, decoded_sha256, text_sha256 of every row's whole text (and ``ids`` if asked for)."""
 
     def digests(b: pa.RecordBatch, c: Codec) -> pa.RecordBatch:
-        got = list(zip(*map(c.digest, b.column(1).to_pylist()))) or [(), (), ()]
-        out = [b.column(0), pa.array(got[0], pa.int64()), pa.array(got[1], pa.string()), pa.array(got[2], pa.string())]
-        names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256"]
+        got = list(zip(*map(c.digest, b.column(1).to_pylist()))) or [(), (), (), ()]
+        out = [b.column(0), pa.array(got[0], pa.int64()), *(pa.array(x, pa.string()) for x in got[1:])]
+        names = ["doc_id", "n_tokens", "ids_sha256", "decoded_sha256", "text_sha256"]
         if ids:
             out.append(c.lists(b.column(1).to_pylist()))
             names.append("ids")
@@ -369,4 +413,4 @@ def encoded(docs: DataFrame, path: str, ids: bool = False) -> DataFrame:
 
     got = docs.select("doc_id", "text")
     kind = got.schema["doc_id"].dataType.simpleString()
-    return got.mapInArrow(rows, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string" + ", ids array<int>" * ids)
+    return got.mapInArrow(rows, f"doc_id {kind}, n_tokens bigint, ids_sha256 string, decoded_sha256 string, text_sha256 string" + ", ids array<int>" * ids)

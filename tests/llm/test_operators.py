@@ -566,13 +566,50 @@ def test_bpe_streams_with_bounded_memory(pair):
         out += len(enc.feed("theonandreion" * 5))
         widest = max(widest, len(enc.last))
     assert out > 5000 and widest < 8 * mine.m.reach
+
+
+def test_bpe_decodes_in_any_portions(pair):
+    """Tokens that end inside a character, fed one by one, give the same text as all at once; the spelled form is the library's."""
+    mine, lib = pair
+    for text in ("Été 日本 <|endoftext|>ok", "😀👍🏽 x", "", "ab" * 400, "\x00\x7f é"):
+        ids = np.array(mine.encode(text), np.int64)
+        for spelled in (False, True):
+            d = bpe.Decoder(mine.m, spelled)
+            whole = d.feed(ids) + d.finish()
+            assert "".join(d.feed(ids[k : k + 1]) for k in range(len(ids))) + d.finish() == whole
+            if spelled:
+                assert whole == lib.decode(ids.tolist(), skip_special_tokens=False)
+            else:
+                words = text.lower().replace("<|endoftext|>", " <|endoftext|> ").split()
+                assert whole.replace(" ", "") == "".join(words)
     d = bpe.Decoder(mine.m)
-    assert "".join(map(d.feed, mine.encode("Été 日本 <|endoftext|>ok"))) + d.finish() == "été 日本 <|endoftext|>ok "
+    half = np.array(mine.encode("日"), np.int64)
+    assert "\ufffd" not in d.feed(half) + d.finish()
+    cut = bytes([0xE6]).decode("latin-1")
+    odd = np.array([mine.m.plain[ord(cut)]], np.int64)
+    assert d.feed(odd) == "" and d.finish() == "\ufffd"  # an unfinished sequence is held, and told at the end
+
+
+def test_bpe_blocks_do_not_change_the_ids(pair, monkeypatch):
+    mine, lib = pair
+    rnd = random.Random(4)
+    texts = ["word " * 50 + "x" * 900 + "\n\u0301 é e\u0301 \u00a0 Σας ΟΔΟΣ it's " * 30, "".join(rnd.choice("abc é\n<|endoftext|>12!") for _ in range(3000)), "日本" * 700 + "12 !!" + "a" * 5000]
+    for block, long in ((7, 5), (64, 30), (1000, 400)):
+        monkeypatch.setattr(bpe, "BLOCK", block)
+        monkeypatch.setattr(bpe, "LONG", long)
+        fresh = bpe.Codec(queries.WORD_BPE)
+        for t in texts:
+            ids = lib.encode(t, add_special_tokens=False).ids
+            assert fresh.encode(t) == ids
+            n, ids_sha, decoded, _ = fresh.digest(t)
+            assert (n, ids_sha, decoded) == (len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest())
 
 
 def test_bpe_rows(spark, odd, none, pair):
     _, lib = pair
-    got = Counter(tuple(r) for r in bpe.encoded(odd, queries.WORD_BPE).collect())
+    got = Counter(tuple(r)[:4] for r in bpe.encoded(odd, queries.WORD_BPE).collect())
+    for r in bpe.encoded(odd, queries.WORD_BPE, ids=True).collect():
+        assert len(r.ids) == r.n_tokens and hashlib.sha256(np.array(r.ids, "<u4").tobytes()).hexdigest() == r.ids_sha256
     want = Counter()
     for r in odd.collect():
         ids = lib.encode(r.text or "", add_special_tokens=False).ids
