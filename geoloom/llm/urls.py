@@ -14,7 +14,6 @@ repeated rows give repeated result rows; an empty table gives an empty result.
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Iterator
 
 import numpy as np
@@ -48,47 +47,60 @@ def _names(words: list[str], others: list[str]) -> list[str]:
     return out
 
 
-_BAD, _GOOD = _names(_TRADE, _PRAISE), _names(_WORDS, _COMPANIONS)
-
-
-def labelled(seed: int = 1) -> list[tuple[str, str, int]]:
-    """(host, path, label) with label 1 for addresses to block.
+def labelled(seed: int = 1, without: frozenset[str] = frozenset()) -> list[tuple[str, str, int]]:
+    """(host, path, label) with label 1 for addresses to block; no name holds a word of ``without``.
 
     Names of both kinds and made-up plain names stand in the same hosts and
-    paths, drawn by a seeded generator, so that these tell nothing.
+    paths, drawn by a seeded generator, so that these tell nothing.  Addresses
+    without host and path are not to be blocked.
     """
+    bad, good = (_names([w for w in words if w not in without], others) for words, others in ((_TRADE, _PRAISE), (_WORDS, _COMPANIONS)))
     rng = np.random.default_rng(seed)
     pick = lambda xs: xs[int(rng.integers(len(xs)))]
     tops, fronts, paths = ("com", "org", "net", "example.com", "example.org", "example.net"), ("", "www.", "m.", "blog."), ("/en/{}", "/fr/{}/", "/de/{}.html", "/es/{}", "/", "/index.html")
     address = lambda name, label: (f"{pick(fronts)}{name}.{pick(tops)}", pick(paths).format(int(rng.integers(1000))), label)
     parts = [c + v + e for c in ("", "b", "c", "d", "g", "l", "m", "n", "r", "s", "t", "th", "wh") for v in "aeiou" for e in ("", "n", "r", "s", "nt")]
     plain = ["".join(pick(parts) for _ in range(2 + k % 2)) for k in range(400)]
-    rows = [address(name, label) for label, names in ((1, _BAD * 4), (0, _GOOD * 3 + plain)) for name in names]
-    for i, name in enumerate(_GOOD):  # addresses whose path alone is bad
-        rows.append((f"{name}.org", f"/{_BAD[i % len(_BAD)]}/offer", 1))
-        rows.append((f"{name}.org", f"/{_GOOD[-i - 1]}/page", 0))
-    return rows
-
-
-def grams(host: str, path: str) -> list[int]:
-    """Buckets of the n-grams of a host (ends marked) and of a path; host and path are hashed apart."""
-    out = []
-    for text, mark in ((f"^{host}$" if host else "", "h"), (path if len(path) > 1 else "", "p")):
-        for n in SIZES:
-            out += [zlib.crc32(f"{mark}{text[i : i + n]}".encode("utf-8", "surrogatepass")) % BUCKETS for i in range(len(text) - n + 1)]
-    return out
+    rows = [address(name, label) for label, names in ((1, bad * 4), (0, good * 3 + plain)) for name in names]
+    for i, name in enumerate(good):  # addresses whose path alone is bad
+        rows.append((f"{name}.org", f"/{bad[i % len(bad)]}/offer", 1))
+        rows.append((f"{name}.org", f"/{good[-i - 1]}/page", 0))
+    return rows + [("", "", 0)] * 60
+
+
+def grams(texts: list[str], seed: int) -> tuple[np.ndarray, np.ndarray]:
+    """(text's number, bucket) of the character n-grams of all texts at once."""
+    points = np.frombuffer("".join(texts).encode("utf-32-le", "surrogatepass"), np.uint32)
+    size = np.array([len(t) for t in texts], np.int64)
+    owner = np.repeat(np.arange(len(texts)), size)
+    inside = np.arange(len(points)) - np.repeat(np.cumsum(size) - size, size)
+    whose, where = [], []
+    for n in SIZES:
+        m = max(0, len(points) - n + 1)
+        h = np.full(m, seed * 16 + n, np.uint32)
+        for k in range(n):
+            h = (h ^ points[k : k + m]) * np.uint32(16777619)
+            h ^= h >> np.uint32(13)
+        fits = inside[:m] + n <= size[owner[:m]]
+        whose.append(owner[:m][fits])
+        where.append((h[fits] * np.uint32(2654435769) >> np.uint32(18)).astype(np.int64))
+    return np.concatenate(whose), np.concatenate(where)
+
+
+def features(hosts: list[str], paths: list[str]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(row, bucket, value): counts of the n-grams of each host (ends marked) and path, which are hashed apart, at length one."""
+    h = grams([f"^{x}$" if x else "" for x in hosts], 1)
+    p = grams([x if len(x) > 1 else "" for x in paths], 2)
+    key, count = np.unique(np.concatenate([h[0], p[0]]) * BUCKETS + np.concatenate([h[1], p[1]]), return_counts=True)
+    row = key // BUCKETS
+    norm = np.sqrt(np.bincount(row, count.astype(float) ** 2, len(hosts)))
+    return row, key % BUCKETS, count / norm[row]
 
 
 def train(rows: list[tuple[str, str, int]] | None = None, steps: int = 1500, rate: float = 1.0, l2: float = 1e-4) -> tuple[np.ndarray, float]:
-    """(weights, bias) of the regression, by full-batch gradient steps on length-normalised counts."""
+    """(weights, bias) of the regression, by full-batch gradient steps."""
     rows = rows or labelled()
-    at, where, value = [], [], []
-    for r, (host, path, _) in enumerate(rows):
-        own, count = np.unique(grams(host, path), return_counts=True)
-        at += [r] * len(own)
-        where += own.tolist()
-        value += (count / np.sqrt((count**2).sum())).tolist()
-    at, where, value = np.array(at), np.array(where), np.array(value)
+    at, where, value = features([r[0] for r in rows], [r[1] for r in rows])
     y = np.array([r[2] for r in rows], float)
     w, b = np.zeros(BUCKETS), 0.0
     speed, speed_b = np.zeros(BUCKETS), 0.0
@@ -98,7 +110,7 @@ def train(rows: list[tuple[str, str, int]] | None = None, steps: int = 1500, rat
         speed = 0.9 * speed - rate * (np.bincount(where, d[at] * value, BUCKETS) + l2 * w)
         speed_b = 0.9 * speed_b - rate * 0.05 * d.sum()
         w, b = w + speed, b + speed_b
-    return w, min(b, -0.5)
+    return w, b
 
 
 _TRAINED: list[tuple[np.ndarray, float]] = []
@@ -110,13 +122,10 @@ def model() -> tuple[np.ndarray, float]:
     return _TRAINED[0]
 
 
-def spam_score(host: str, path: str, w: np.ndarray, b: float) -> float:
-    own = grams(host or "", path or "")
-    if not own:
-        return float(1 / (1 + np.exp(-b)))
-    at, count = np.unique(own, return_counts=True)
-    z = float(w[at] @ count / np.sqrt((count**2).sum())) + b
-    return float(1 / (1 + np.exp(-z)))
+def spam_scores(hosts: list[str], paths: list[str], w: np.ndarray, b: float) -> np.ndarray:
+    """The model's probability that each address is to be blocked; an address without n-grams has that of the bias."""
+    row, bucket, value = features(hosts, paths)
+    return 1 / (1 + np.exp(-(np.bincount(row, w[bucket] * value, len(hosts)) + b)))
 
 
 def lowered(c: Column) -> Column:
@@ -143,7 +152,7 @@ def judged(pages: DataFrame, rules: tuple = RULES, threshold: float = 0.55) -> D
 
     def rows(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for x in batches:
-            got = [spam_score(h, p, w, b) for h, p in zip(x.column("host").to_pylist(), x.column("path").to_pylist())]
+            got = spam_scores(x.column("host").to_pylist(), x.column("path").to_pylist(), w, b)
             yield pa.RecordBatch.from_arrays([*x.columns, pa.array(got, pa.float64())], [*x.schema.names, "score"])
 
     scored = cut.mapInArrow(rows, f"page_id {kind}, host string, path string, score double")
