@@ -2,13 +2,16 @@
 
 A text's words (white space cut, marks stripped, A-Z lowered) are read in
 overlapping windows of ``WINDOW`` words; all windows are scored.  Each word's
-input has a word half and a character half: the evidence that training labels
-give for the word itself and for its character n-grams (ends marked), read from
-hashed tables, plus hashed random directions.  The tables come from one part of
-the labelled rows, the network is trained in numpy on a second part and the
-score is calibrated on a third, so that rare words cannot vouch for themselves.
-A text's score is a logistic function of its windows' largest logit, the mean of
-its three largest, and how many windows are suspect.
+input is its word embedding, and the mean and the largest of the embeddings of
+its character n-grams (ends marked); both tables are hashed and are learned with
+the network.  A first column of each begins as the evidence that labels give
+(shrunken log ratio of document frequencies), a second one of the words as how
+often a word was seen; the others begin at zero, so words that training never saw
+add nothing.  The first values come from one part of the labelled rows, network
+and embeddings are trained in numpy on a second part and the score is calibrated
+on a third, so that rare words cannot vouch for themselves.  A text's score is a
+logistic function of its windows' largest logit, the mean of its three largest,
+and how many windows are suspect.
 
 The labelled rows for training are bounded: ``MOST`` of each label, those with
 the smallest hash of the id, never rows held out, no text beyond ``MOST_CHARS``.  Only text is an input of a
@@ -30,8 +33,13 @@ from pyspark.sql import functions as F
 
 from .common import remainder
 
-WINDOW, STRIDE, HIDDEN, INPUTS, LANES = 48, 24, 8, 10, 4096
-WORD_BITS, GRAM_BITS, GRAMS = 18, 19, (3, 5, 7)
+WINDOW, STRIDE, HIDDEN, LANES = 48, 24, 8, 4096
+WORD_BITS, GRAM_BITS, GRAMS = 18, 18, (3, 5, 7)
+#: Columns of the embeddings of words and of n-grams; inputs of a step.
+WORD_DIM, GRAM_DIM = 6, 4
+INPUTS = WORD_DIM + 2 * GRAM_DIM
+#: Step of the embeddings (AdaGrad).
+LEARN = 0.02
 #: Labelled rows of each label that training may use, and the longest text among them (scoring knows no such bound).
 MOST, MOST_CHARS = 3000, 20_000
 SEED = 5
@@ -68,7 +76,7 @@ def hashed(words: list[bytes]) -> tuple[np.ndarray, list[tuple[np.ndarray, np.nd
 
 
 def _tables(docs: list[list[bytes]], y: np.ndarray) -> dict[str, np.ndarray]:
-    """Evidence tables: shrunken log ratio of document frequencies in both labels, of word and n-gram buckets."""
+    """The embeddings as they begin: evidence (shrunken log ratio of document frequencies in both labels), how often seen, zeros."""
     counts = {k: np.zeros((2, 1 << bits), np.float32) for k, bits in (("word", WORD_BITS), ("gram", GRAM_BITS))}
     for words, label in zip(docs, y):
         own = list(set(words))
@@ -77,34 +85,59 @@ def _tables(docs: list[list[bytes]], y: np.ndarray) -> dict[str, np.ndarray]:
             counts["word"][label][np.unique(w)] += 1
             counts["gram"][label][np.unique(np.concatenate([g for _, g in grams]))] += 1
     n = np.array([(y == 0).sum(), (y == 1).sum()], np.float32)
-    out = {}
+    out = {"word": np.zeros((1 << WORD_BITS, WORD_DIM), np.float32), "gram": np.zeros((1 << GRAM_BITS, GRAM_DIM), np.float32)}
     for k, c in counts.items():
         ratio = np.log((c[1] + 0.5) / (n[1] + 1)) - np.log((c[0] + 0.5) / (n[0] + 1))
         seen = c.sum(0)
-        out[k] = (np.clip(ratio, -3, 6) * seen / (seen + 3)).astype(np.float16)
-        out[k + "_seen"] = np.minimum(np.log1p(seen), 8).astype(np.float16)
+        out[k][:, 0] = 0.5 * np.clip(ratio, -3, 6) * seen / (seen + 3)
+        if k == "word":
+            out[k][:, 1] = 0.1 * np.minimum(np.log1p(seen), 8)
     return out
 
 
-def inputs(words: list[bytes], tables: dict[str, np.ndarray]) -> np.ndarray:
-    """INPUTS × (words + 1); the last column is for the padding."""
-    x = np.zeros((INPUTS, len(words) + 1), np.float32)
-    if not words:
+class Coded:
+    """The buckets of distinct words and of their n-grams, the latter word by word."""
+
+    def __init__(self, words: list[bytes]):
+        self.n = len(words)
+        self.word, grams = hashed(words) if words else (np.zeros(0, np.int64), [])
+        owner = np.concatenate([o for o, _ in grams]) if grams else np.zeros(0, np.int64)
+        order = np.argsort(owner, kind="stable")
+        self.gram = (np.concatenate([g for _, g in grams]) if grams else owner)[order]
+        self.size = np.bincount(owner, minlength=self.n)
+        self.begin = np.cumsum(self.size) - self.size
+
+    def part(self, which: np.ndarray) -> Coded:
+        """The same for some of the words."""
+        out = object.__new__(Coded)
+        out.n, out.word, out.size = len(which), self.word[which], self.size[which]
+        out.begin = np.cumsum(out.size) - out.size
+        out.gram = self.gram[np.arange(int(out.size.sum())) + np.repeat(self.begin[which] - out.begin, out.size)]
+        return out
+
+    def inputs(self, tables: dict[str, np.ndarray]) -> np.ndarray:
+        """INPUTS × (words + 1); the last column is for the padding."""
+        x = np.zeros((INPUTS, self.n + 1), np.float32)
+        x[:WORD_DIM, :-1] = tables["word"][self.word].T
+        some = np.flatnonzero(self.size)
+        if len(some):
+            v = tables["gram"][self.gram].astype(np.float32)
+            x[WORD_DIM : WORD_DIM + GRAM_DIM, some] = (np.add.reduceat(v, self.begin[some]) / self.size[some, None]).T
+            x[WORD_DIM + GRAM_DIM :, some] = np.maximum.reduceat(v, self.begin[some]).T
         return x
-    w, grams = hashed(words)
-    x[0, :-1] = tables["word"][w]
-    x[1, :-1] = tables["word_seen"][w] * 0.2
-    x[2, :-1] = (w % 1021) / 510.5 - 1  # a hashed direction for the word
-    for k, (owner, bucket) in enumerate(grams):
-        if len(owner):
-            v = tables["gram"][bucket].astype(np.float32)
-            top = np.full(len(words), -3.0, np.float32)
-            np.maximum.at(top, owner, v)
-            n = np.bincount(owner, minlength=len(words))
-            x[3 + 2 * k, :-1] = np.where(n, top, 0)
-            x[4 + 2 * k, :-1] = np.bincount(owner, v, len(words)) / np.maximum(n, 1)
-    x[9, :-1] = 1
-    return x * 0.5
+
+    def descend(self, tables: dict[str, np.ndarray], squares: dict[str, np.ndarray], x: np.ndarray, dx: np.ndarray) -> None:
+        """One step of the embeddings by the gradient dx (INPUTS × words) of their inputs x."""
+        owner = np.repeat(np.arange(self.n), self.size)
+        mean, top = dx[WORD_DIM : WORD_DIM + GRAM_DIM].T, dx[WORD_DIM + GRAM_DIM :].T
+        # a mean's gradient is shared by all n-grams, a largest value's goes to those that hold it
+        at_top = tables["gram"][self.gram] == x[WORD_DIM + GRAM_DIM :, :-1].T[owner]
+        given = mean[owner] / np.maximum(self.size, 1)[owner, None] + at_top * top[owner]
+        for k, bucket, grad in (("word", self.word, dx[:WORD_DIM].T), ("gram", self.gram, given)):
+            where, back = np.unique(bucket, return_inverse=True)
+            total = np.stack([np.bincount(back, grad[:, j], len(where)) for j in range(grad.shape[1])], axis=1)
+            squares[k][where] += total**2
+            tables[k][where] -= LEARN * total / np.sqrt(squares[k][where])
 
 
 def windows(n: int) -> list[tuple[int, int]]:
@@ -147,9 +180,10 @@ def _gru(p: dict, d: str, x: np.ndarray, mask: np.ndarray, keep: bool) -> tuple[
     return hs, kept
 
 
-def _gru_back(p: dict, d: str, x: np.ndarray, mask: np.ndarray, kept: list, dhs: np.ndarray, g: dict) -> None:
-    H, U = HIDDEN, p[d + "U"]
-    dh = np.zeros_like(dhs[0])
+def _gru_back(p: dict, d: str, x: np.ndarray, mask: np.ndarray, kept: list, dhs: np.ndarray, g: dict) -> np.ndarray:
+    """Adds the weights' gradients to g and returns that of x."""
+    H, U, W = HIDDEN, p[d + "U"], p[d + "W"]
+    dh, dx = np.zeros_like(dhs[0]), np.empty_like(x)
     for t in range(len(x) - 1, -1, -1):
         before, z, r, n, qn = kept[t]
         dh = dh + dhs[t]
@@ -162,7 +196,9 @@ def _gru_back(p: dict, d: str, x: np.ndarray, mask: np.ndarray, kept: list, dhs:
         g[d + "W"] += da @ x[t].T
         g[d + "b"] += da.sum(1)
         g[d + "U"] += dq @ before.T
+        dx[t] = W.T @ da
         dh = dh * (1 - gate) + U.T @ dq
+    return dx
 
 
 def logits(p: dict, x: np.ndarray, mask: np.ndarray, keep: bool = False):
@@ -179,7 +215,8 @@ def logits(p: dict, x: np.ndarray, mask: np.ndarray, keep: bool = False):
     return (out, (kf, kb, h, u, a, pool)) if keep else out
 
 
-def _step(p: dict, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> tuple[float, dict]:
+def _step(p: dict, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> tuple[float, dict, np.ndarray]:
+    """Loss, gradients of the weights and of x."""
     out, (kf, kb, h, u, a, pool) = logits(p, x, mask, True)
     prob, B, H = 1 / (1 + np.exp(-out)), len(y), HIDDEN
     weight = np.where(y > 0, 0.5 / max(1, (y > 0).sum()), 0.5 / max(1, (y == 0).sum())).astype(np.float32)
@@ -195,16 +232,16 @@ def _step(p: dict, x: np.ndarray, mask: np.ndarray, y: np.ndarray) -> tuple[floa
     du = de[:, None, :] * p["v"][None, :, None] * (1 - u * u)
     g["A"], g["Ab"] = np.einsum("tkb,thb->kh", du, h), du.sum((0, 2))
     dh += np.matmul(p["A"].T, du)
-    _gru_back(p, "f", x, mask, kf, dh[:, :H], g)
-    _gru_back(p, "b", x[::-1], mask[::-1], kb, np.ascontiguousarray(dh[::-1, H:]), g)
-    return loss, g
+    dx = _gru_back(p, "f", x, mask, kf, dh[:, :H], g)
+    dx = dx + _gru_back(p, "b", x[::-1], mask[::-1], kb, np.ascontiguousarray(dh[::-1, H:]), g)[::-1]
+    return loss, g, dx
 
 
 def window_logits(p: dict, docs: list[list[bytes]], tables: dict[str, np.ndarray]) -> list[np.ndarray]:
     """Logits of all windows of each text, in order."""
     index: dict[bytes, int] = {}
     coded = [np.array([index.setdefault(w, len(index)) for w in words], np.int64) for words in docs]
-    x = inputs(list(index), tables)
+    x = Coded(list(index)).inputs(tables)
     jobs = sorted((e - s, k, i, s, e) for k, c in enumerate(coded) for i, (s, e) in enumerate(windows(len(c))))
     out = [np.zeros(len(windows(len(c))), np.float32) for c in coded]
     for at in range(0, len(jobs), LANES):
@@ -224,31 +261,34 @@ def summary(values: np.ndarray) -> tuple[float, float, float]:
     return float(top[0]), float(top[:3].mean()), float(np.log1p((1 / (1 + np.exp(-values.clip(-30, 30)))).sum()))
 
 
-def fit(texts: list[str], labels: list[int], seed: int = SEED, rounds: int = 4, steps: int = 40) -> dict | None:
-    """Tables, weights and calibration from labelled texts; None without both labels."""
+def fit(texts: list[str], labels: list[int], seed: int = SEED, rounds: int = 4, steps: int = 40, learn: bool = True) -> dict | None:
+    """Embeddings (fixed as they begin, unless learn), weights and calibration from labelled texts; None without both labels."""
     y, rng = np.array(labels, np.int64), np.random.default_rng(seed)
     if len(y) < 8 or len(set(labels)) < 2:
         return None
     docs = [words_of(t) for t in texts]
-    part = np.empty(len(y), np.int64)  # 0: tables, 1: network, 2: calibration, each with its share of both labels
+    part = np.empty(len(y), np.int64)  # 0: first values of the embeddings, 1: network, 2: calibration, each with its share of both labels
     for label in (0, 1):
         own = np.flatnonzero(y == label)
         part[own] = np.array([0, 0, 0, 0, 1, 1, 1, 2, 2, 0])[np.arange(len(own)) % 10]
     tables = _tables([docs[i] for i in np.flatnonzero(part == 0)], y[part == 0])
-    learn = np.flatnonzero(part == 1) if len(set(y[part == 1])) == 2 else np.arange(len(y))
+    learnt = np.flatnonzero(part == 1) if len(set(y[part == 1])) == 2 else np.arange(len(y))
     p = _start(rng)
     m1, m2, done = {k: np.zeros_like(v) for k, v in p.items()}, {k: np.zeros_like(v) for k, v in p.items()}, 0
+    squares = {k: np.full_like(v, 1e-4) for k, v in tables.items()}
     index: dict[bytes, int] = {}
-    coded = [np.array([index.setdefault(w, len(index)) for w in docs[i]], np.int64) for i in learn]
-    x, pad = inputs(list(index), tables), len(index)
+    coded = [np.array([index.setdefault(w, len(index)) for w in docs[i]], np.int64) for i in learnt]
+    words, pad = Coded(list(index)), len(index)
+    x = words.inputs(tables)
     spans = [(k, s, e) for k, c in enumerate(coded) for s, e in windows(len(c))]
     ids = np.full((len(spans), WINDOW), pad, np.int64)
     for r, (k, s, e) in enumerate(spans):
         ids[r, : e - s] = coded[k][s:e]
-    owner, yl = np.array([s[0] for s in spans]), y[learn]
-    heat = np.maximum(x[0], 0)[ids].sum(1) + np.maximum(x[3], 0)[ids].max(1)  # the first choice of windows: by evidence
+    owner, yl = np.array([s[0] for s in spans]), y[learnt]
+    heat = np.maximum(x[0], 0)[ids].sum(1) + np.maximum(x[WORD_DIM + GRAM_DIM], 0)[ids].max(1)  # the first choice of windows: by evidence
     for turn in range(rounds):
         if turn:
+            x = words.inputs(tables)
             heat = np.concatenate([logits(p, np.take(x, ids[a : a + LANES].T, axis=1).transpose(1, 0, 2), (ids[a : a + LANES].T < pad).astype(np.float32)) for a in range(0, len(ids), LANES)])
         order = np.lexsort((-heat, owner))
         best = order[np.concatenate([[True], np.diff(owner[order]) > 0])]
@@ -256,13 +296,20 @@ def fit(texts: list[str], labels: list[int], seed: int = SEED, rounds: int = 4,
         picked = np.concatenate([best, some[yl[owner[some]] == 0]])  # each text's hottest window, and clean texts' windows at random
         for _ in range(steps):
             lot = picked[rng.integers(0, len(picked), min(512, len(picked)))]
-            lane = ids[lot].T
-            _, g = _step(p, np.take(x, lane, axis=1).transpose(1, 0, 2), (lane < pad).astype(np.float32), yl[owner[lot]])
+            used, lane = np.unique(ids[lot].T, return_inverse=True)
+            lane = lane.reshape(WINDOW, len(lot))
+            mine = words.part(used[used < pad])
+            own = mine.inputs(tables)  # its last column is the padding, as the last word used
+            _, g, dx = _step(p, np.take(own, lane, axis=1).transpose(1, 0, 2), (lane < mine.n).astype(np.float32), yl[owner[lot]])
             done += 1
             for k in p:
                 m1[k] = 0.9 * m1[k] + 0.1 * g[k]
                 m2[k] = 0.99 * m2[k] + 0.01 * g[k] ** 2
                 p[k] -= 0.02 * (m1[k] / (1 - 0.9**done)) / (np.sqrt(m2[k] / (1 - 0.99**done)) + 1e-8) + 1e-4 * p[k]
+            if learn:
+                flat = lane.ravel()
+                mine.descend(tables, squares, own, np.stack([np.bincount(flat, dx[:, j].ravel(), mine.n + 1)[:-1] for j in range(INPUTS)]))
+    tables = {k: v.astype(np.float16) for k, v in tables.items()}
     held = np.flatnonzero(part >= 1) if (part == 2).sum() < 60 else np.flatnonzero(part == 2)
     s = np.array([summary(v) for v in window_logits(p, [docs[i] for i in held], tables)])
     mean, spread = s.mean(0), s.std(0) + 1e-6

@@ -352,7 +352,12 @@ def test_gru_gradients():
     p = {k: v.astype(np.float64) for k, v in toxicity._start(rng).items()}
     x, mask, y = rng.normal(size=(5, toxicity.INPUTS, 4)), np.ones((5, 4)), np.array([0, 1, 1, 0])
     mask[3:, 1] = 0
-    _, g = toxicity._step(p, x, mask, y)
+    _, g, dx = toxicity._step(p, x, mask, y)
+    for at in ((0, 0, 0), (2, 3, 1), (4, 5, 2), (1, 7, 3)):
+        up, down = x.copy(), x.copy()
+        up[at] += 1e-3
+        down[at] -= 1e-3
+        assert (toxicity._step(p, up, mask, y)[0] - toxicity._step(p, down, mask, y)[0]) / 2e-3 == pytest.approx(float(dx[at]), abs=2e-4)
     for k in p:
         at = tuple(0 for _ in p[k].shape)
         up, down = {n: v.copy() for n, v in p.items()}, {n: v.copy() for n, v in p.items()}
@@ -361,6 +366,29 @@ def test_gru_gradients():
         assert (toxicity._step(up, x, mask, y)[0] - toxicity._step(down, x, mask, y)[0]) / 2e-3 == pytest.approx(float(g[k][at]), abs=2e-4)
 
 
+def test_embeddings_are_inputs_and_learn(monkeypatch):
+    """Inputs word by word, and a step of the embeddings along their gradient lowers a function of the inputs."""
+    rng = np.random.default_rng(1)
+    tables = {"word": rng.normal(size=(1 << toxicity.WORD_BITS, toxicity.WORD_DIM)).astype(np.float32), "gram": rng.normal(size=(1 << toxicity.GRAM_BITS, toxicity.GRAM_DIM)).astype(np.float32)}
+    words = [b"alpha", b"a", "été".encode(), b"beta", b"x" * 40]
+    c = toxicity.Coded(words)
+    x = c.inputs(tables)
+    for i, w in enumerate(words):
+        bucket, grams = toxicity.hashed([w])
+        own = np.concatenate([tables["gram"][g] for _, g in grams])
+        want = np.concatenate([tables["word"][bucket[0]], own.mean(0) if len(own) else np.zeros(toxicity.GRAM_DIM), own.max(0) if len(own) else np.zeros(toxicity.GRAM_DIM)])
+        assert np.allclose(x[:, i], want, atol=1e-5) and np.allclose(c.part(np.array([i, 0])).inputs(tables)[:, 0], want, atol=1e-5)
+    assert not x[:, -1].any() and toxicity.Coded([]).inputs(tables).shape == (toxicity.INPUTS, 1)
+    aim = rng.normal(size=x[:, :-1].shape).astype(np.float32)
+    squares = {k: np.full_like(v, 1e-4) for k, v in tables.items()}
+    before = ((x[:, :-1] - aim) ** 2).sum()
+    monkeypatch.setattr(toxicity, "LEARN", 0.2)
+    for _ in range(30):
+        x = c.inputs(tables)
+        c.descend(tables, squares, x, 2 * (x[:, :-1] - aim))
+    assert ((c.inputs(tables)[:, :-1] - aim) ** 2).sum() < 0.5 * before
+
+
 # ---------------------------------------------------------------- 6
 
 
@@ -459,8 +487,9 @@ def near(a, b):
 
 
 def brute_lines(rows):
+    """Rows (doc_id, text, ...) with the lines that stay."""
     seen, out = [], []
-    for i, text in sorted(rows, key=lambda r: r[0]):
+    for i, text, *rest in sorted(rows, key=lambda r: r[0]):
         keep = []
         for raw in (text or "").split("\n"):
             x = raw.strip(" \t\x0b\x0c\r").lower()
@@ -468,7 +497,7 @@ def brute_lines(rows):
                 keep.append(raw)
             if x:
                 seen.append(x)
-        out.append((i, None if text is None else "\n".join(keep)))
+        out.append((i, None if text is None else "\n".join(keep), *rest))
     return out
 
 
@@ -664,13 +693,56 @@ def test_query_equals_sql(spark, duck, name):
     same(queries.queries()[name](spark, DATA), duck, queries.oracle_sql()[name])
 
 
-def test_pipeline(spark):
+def brute_pipeline(rows, kept, lib):
+    """(doc_id, n_tokens, ids_sha256) of each copy: lines, near duplicates, mixing and encoding of the rows that the quality rules keep, in plain Python."""
+    rows = brute_lines([(r.doc_id, r.text, r.source) for r in rows if r.doc_id in kept])
+    fps = {i: brute_fingerprint(t) for i, t, _ in rows}
+    group = brute_classes(set(fps.values()))
+    first = {}
+    for i, _, _ in rows:
+        first[group[fps[i]]] = min(first.get(group[fps[i]], i), i)
+    rows = [r for r in rows if first[group[fps[r[0]]]] == r[0]]
+    size = Counter(s for _, _, s in rows)
+    out = Counter()
+    for i, text, source in rows:
+        u = int(hashlib.md5(f"7:{i}".encode()).hexdigest()[:13], 16) / 2**52
+        mean, k, total = len(rows) / (len(size) * size[source]), 0, 0.0
+        while (total := total + math.exp(-mean + k * math.log(mean) - math.lgamma(k + 1))) <= u:
+            k += 1
+        if k:
+            ids = lib.encode(text or "", add_special_tokens=False).ids
+            out[i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest()] += k
+    return out
+
+
+def test_pipeline_equals_brute_force(spark, duck, pair, tmp_path):
     import corpus_pipeline
 
-    ids = [f.__name__ for _, f in corpus_pipeline.STAGES]
-    assert len(ids) == 5
+    assert len(corpus_pipeline.STAGES) == 5
     d = docs(spark)
     good = corpus_pipeline.quality_rules(spark, d, DATA)
     assert good.columns == d.columns and 0.7 * d.count() < good.count() < d.count()
-    out = corpus_pipeline.run(spark, DATA).collect()
-    assert out and all(r.n_tokens == len(r.ids) for r in out)
+    # the verdicts of the rules by SQL, the other stages in Python, on the documents with few lines
+    some = d.filter("size(split(text, '\n')) <= 12")
+    some.write.parquet(str(tmp_path / "documents.parquet"))
+    con = duck.cursor()
+    con.execute(f"CREATE OR REPLACE TEMP VIEW documents AS SELECT * FROM '{tmp_path}/documents.parquet/*.parquet'")
+    kept = {r[0] for r in con.execute(f"SELECT doc_id FROM ({queries.op4_sql()}) WHERE kept").fetchall()}
+    out = corpus_pipeline.run(spark, str(tmp_path)).collect()
+    assert all(r.n_tokens == len(r.ids) for r in out)
+    assert Counter((r.doc_id, r.n_tokens, r.ids_sha256) for r in out) == brute_pipeline(some.collect(), kept, pair[1])
+
+
+def test_pipeline_on_odd_and_empty_tables(spark, odd, none, tmp_path):
+    import corpus_pipeline
+
+    for name, df in (("odd", odd), ("none", none)):
+        df.write.parquet(str(tmp_path / name / "documents.parquet"))
+        table = spark.read.parquet(str(tmp_path / name / "documents.parquet"))
+        for _, stage in corpus_pipeline.STAGES[:-1]:
+            got = stage(spark, table, "")
+            assert got.columns == df.columns and (name == "odd" or got.count() == 0)
+            if name == "odd":
+                got.collect()
+        out = corpus_pipeline.run(spark, str(tmp_path / name)).collect()
+        assert bool(out) == (name == "odd") and all(len(r.ids) == r.n_tokens for r in out)
