@@ -22,8 +22,12 @@ def zone_shape(c) -> Column:
     return F.when(s.rlike(r"^\d{1,4}-[A-Za-z]{1,5}$"), "num-alpha").when(s.rlike(r"^[A-Za-z]{1,4}[-.]?\d{1,4}[A-Za-z]?$"), "alpha-num").otherwise("other")
 
 
-# Words on plans that are no zones.
-STOPWORDS = ("nord", "sud", "est", "ouest", "rue", "rang", "lac", "chemin", "route", "plan", "zone", "zonage", "échelle", "legende", "légende")
+# Words on plans that are no zones (streets, legends, notes).
+STOPWORDS = (
+    "rue", "rte", "route", "chemin", "boulevard", "ave", "avenue", "ch", "blvd", "rang", "montee", "montée", "côte", "cote", "nord", "sud", "est", "ouest", "n", "s", "e", "o", "km", "m", "ha", "ft",
+    "plan", "de", "du", "des", "le", "la", "les", "zonage", "zone", "zones", "affectation", "règlement", "reglement", "echelle", "légende", "legende", "annexe", "titre", "date", "source", "projection",
+    "datum", "note", "page",
+)
 
 
 def zone_label(c) -> Column:
@@ -68,7 +72,7 @@ def has_keyword(c, words: list[str]) -> Column:
 
 
 # What a notice's title says when it is about zoning.
-ZONING_WORDS = ["zonage", "ppcmoi", "usage conditionnel", "plan d'urbanisme", "lotissement", "dérogation", "densité"]
+ZONING_WORDS = ["ppcmoi", "règlement de zonage", "reglement de zonage", "changement de zonage", "changement de zone", "projet de règlement", "projet de reglement"]
 
 
 def zoning_notice(kind, title) -> Column:
@@ -124,23 +128,65 @@ def session_only(c) -> Column:
     return F.length(F.regexp_replace(s, "[^a-z]", "")) <= 2
 
 
-def guessed_hosts(slug) -> Column:
-    s = col(slug)
-    flat = F.regexp_replace(s, "-", "")
-    return F.array_distinct(F.array(*[F.concat(F.lit(a), x, F.lit(b)) for x in (s, flat) for a, b in (("www.", ".ca"), ("www.", ".qc.ca"), ("www.ville.", ".qc.ca"), ("www.municipalite", ".com"))]))
+# Where a town may serve its maps.
+MAP_HOSTS = ("https://cartes.{}.ca", "https://sig.{}.ca", "https://gis.{}.ca", "https://geomatique.{}.ca", "https://www.ville.{}.qc.ca", "https://ville.{}.qc.ca")
 
 
-# Families of sites and the marks of each, in order.
-CMS = (("wordpress", "wp-content"), ("drupal", "drupal-settings"), ("joomla", "/media/jui/"), ("craft", "craft-cms"), ("wix", "wixstatic.com"), ("squarespace", "squarespace"), ("sharepoint", "_layouts/15"), ("typo3", "typo3temp"))
+def _filled(pattern: str, by: Column) -> Column:
+    before, after = pattern.split("{}")
+    return F.concat(F.lit(before), by, F.lit(after))
 
 
-def cms(html) -> Column:
-    out, s = F.lit("unknown"), F.lower(col(html))
-    for name, mark in reversed(CMS):
-        out = F.when(F.contains(s, F.lit(mark)), name).otherwise(out)
+def guessed_hosts(slug) -> Column:
+    """Addresses at which a town's map server may be, by its slug."""
+    return F.array(*[_filled(p, F.lower(col(slug))) for p in MAP_HOSTS])
+
+
+def guessed_services(slug, website) -> Column:
+    """Addresses of map services: those beside the town's own site (none if it is one itself), the site, and those by the slug; each once."""
+    host = F.nullif(F.regexp_extract(F.lower(col(website)), r"^[a-z][a-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)", 1), F.lit(""))
+    bare, none = F.regexp_replace(host, r"^www\.", ""), F.array().cast("array<string>")
+    beside = F.when(host.rlike(r"^(?:sig|gis)\."), none).otherwise(F.array(*[_filled(p, bare) for p in ("https://sig.{}", "https://gis.{}", "https://cartes.{}")]))
+    own = F.when(host.isNotNull(), F.concat(beside, F.array(F.concat(F.lit("https://"), host)))).otherwise(none)
+    return F.array_distinct(F.concat(own, F.array(*[_filled(p, F.lower(col(slug))) for p in ("https://sig.{}.ca", "https://gis.{}.ca")])))
+
+
+# Systems behind sites and the marks of each in a page, in order.
+CMS = (
+    ("October", ("/storage/app/media",)), ("WordPress", ("/wp-content/uploads", "wp-json")), ("GestionWeblex", ("gestionweblex", "GestionWeblex")), ("GoNet/GoAzimut", ("goazimut", "gonet", "GoAzimut")),
+    ("iDesign", ("idesign", "i-design")), ("Statamic", ("/statamic/", "Statamic")), ("October", ("October", "october-")), ("Drupal", ("/drupal", "Drupal")), ("ASP.NET", ("ASP.NET", "__VIEWSTATE")),
+)
+# Layouts of index pages and the marks of each, most specific first.
+FAMILIES = (
+    ("wordpress-elementor-accordion", ("elementor-accordion", "elementor-tab-title")), ("wordpress-fusion-accordion", ("fusion-panel", "fusion-accordian", "panel-collapse collapse")),
+    ("wordpress-visual-composer", ("vc_tta-accordion", "vc_tta-panel", "sc_button")), ("wp-block-collapsible", ("act-collapsible", "wp-block-file")),
+    ("october-cms-document-card", ("c-small-document-card", "c-document-card", "c-documents__item")), ("bootstrap-panel", ("panel panel-default", "pull-right rotate-plus")),
+    ("drupal-files-table", ("/sites/default/files/", "bloc_de_texte")), ("custom-accordion", ("accordeon__content", "accordion__sub-rows", "seances-conseil-list")),
+    ("custom-session-list", ("session-item", "seances-list", "pv-list", "avis_public_item")), ("static-table", ("<table",)), ("youtube-paired", ("youtu.be", "youtube.com/watch")),
+)
+
+
+def first_marked(c, table: tuple, otherwise: str) -> Column:
+    """The name of the first entry one of whose marks stands in the text."""
+    out = F.lit(otherwise)
+    for name, marks in reversed(table):
+        found = F.lit(False)
+        for mark in marks:
+            found = found | F.contains(col(c), F.lit(mark))
+        out = F.when(found, name).otherwise(out)
     return out
 
 
+def cms(url, html) -> Column:
+    """The system behind a site, by its address and page."""
+    return F.when(F.contains(col(url), F.lit("municipalites-du-quebec")), "municipalites-du-quebec.com").otherwise(first_marked(html, CMS, "unknown"))
+
+
+def structural_family(html) -> Column:
+    """The layout of an index page."""
+    return first_marked(html, FAMILIES, "flat-html-list")
+
+
 def needs_browser(html) -> Column:
     """Why a page can't be read as it comes: a challenge, or an empty root of an application."""
     s = F.lower(col(html))
@@ -153,10 +199,13 @@ def amendment_pages(pages: DataFrame, doc: str, text: str) -> DataFrame:
     return pages.groupBy(doc).agg(F.count("*").alias("n_pages"), F.count_if(mark).alias("n_amendment"))
 
 
-# Document kinds by page signals.
+# Fixed value: fewer letters a page are a scan.
+IMAGE_ONLY = 60
+
+
 def pdf_class(docs: DataFrame) -> DataFrame:
-    """kind of documents with n_pages, n_grid, n_amendment, density (letters a page): grille, plan-image, reglement, unknown."""
-    kind = F.when(F.col("n_grid") > 0, "grille").when(F.col("density") < 100, "plan-image").when(F.col("n_amendment") * 2 >= F.col("n_pages"), "reglement").otherwise("unknown")
+    """kind of documents with n_grid, n_amendment, density (letters a page): grille, plan-image, reglement, unknown."""
+    kind = F.when(F.col("n_grid") > 0, "grille").when(F.col("density") < IMAGE_ONLY, "plan-image").when(F.col("n_amendment") > 0, "reglement").otherwise("unknown")
     return docs.withColumn("kind", kind)
 
 
@@ -266,9 +315,29 @@ def boosted(tracks, first: list[str]) -> Column:
 
 
 def spread(df: DataFrame, order: str, accounts: int) -> DataFrame:
-    """Rows dealt in turn to accounts, by position."""
-    n = F.row_number().over(Window.partitionBy(F.spark_partition_id()).orderBy(order))
-    return df.withColumn("account", F.pmod(n - 1 + F.spark_partition_id(), F.lit(accounts)))
+    """Rows dealt to accounts by a hash of their key, whatever partition they are in."""
+    return df.withColumn("account", F.pmod(F.xxhash64(order), F.lit(accounts)).cast("int"))
+
+
+def work_plan(cases: DataFrame, key: str, order: str, hint: str, accounts: list[str], others: list[str]) -> DataFrame:
+    """key, tier, account of each hard case: those hinted at ``codex`` and the last three of every ten go to the ``others`` in turn (if there are any), the rest to the accounts in turn.
+
+    A case is a town at hand, so their number is bounded and the order is one small task's.
+    """
+    at = Window.orderBy(order)
+    placed = cases.select(key, hint, order).withColumn("wp_at", F.row_number().over(at) - 1)
+    second = (F.coalesce(F.col(hint) == "codex", F.lit(False)) | (F.col("wp_at") % 10 >= 7)) & F.lit(bool(others))
+    turned = placed.withColumn("wp_second", second).withColumn("wp_turn", F.row_number().over(Window.partitionBy("wp_second").orderBy(order)) - 1)
+
+    def of(names: list[str]) -> Column:
+        return F.get(F.array(*map(F.lit, names)), (F.col("wp_turn") % len(names)).cast("int")) if names else F.lit(None).cast("string")
+
+    return turned.select(key, F.when(F.col("wp_second"), "codex").otherwise("sonnet").alias("tier"), F.when(F.col("wp_second"), of(others)).otherwise(of(accounts)).alias("account"))
+
+
+def quoted_name(c) -> Column:
+    """A possibly schema-qualified name as an SQL identifier, each part in double quotes."""
+    return F.array_join(F.transform(F.split(col(c), r"\."), lambda x: F.concat(F.lit('"'), F.replace(x, F.lit('"'), F.lit('""')), F.lit('"'))), ".")
 
 
 def seeded_sample(rows: list, n: int, seed: int) -> list:

@@ -57,8 +57,8 @@ def best_candidate(spark, sf_dir):
     return SG.better_first(o, "o_custkey").select("o_custkey", "o_orderkey")
 
 
-@query("""SELECT doc_id, CASE WHEN doc_id % 4 = 3 THEN 'grille' WHEN doc_id % 150 < 100 THEN 'plan-image' WHEN (doc_id % 5) * 2 >= 6 THEN 'reglement' ELSE 'unknown' END AS kind,
-CASE WHEN doc_id % 4 <> 3 AND (doc_id % 150 < 100 OR (doc_id % 5) * 2 >= 6) THEN NULL ELSE (doc_id % 2) * 2 + (doc_id % 4 = 3)::INT END::INT AS priority FROM documents""")
+@query("""SELECT doc_id, CASE WHEN doc_id % 4 = 3 THEN 'grille' WHEN doc_id % 150 < 60 THEN 'plan-image' WHEN doc_id % 5 >= 1 THEN 'reglement' ELSE 'unknown' END AS kind,
+CASE WHEN doc_id % 4 <> 3 AND (doc_id % 150 < 60 OR doc_id % 5 >= 1) THEN NULL ELSE (doc_id % 2) * 2 + (doc_id % 4 = 3)::INT END::INT AS priority FROM documents""")
 def document_gate(spark, sf_dir):
     k = F.col("doc_id")
     d = table(spark, sf_dir, "documents").select("doc_id", F.lit(6).alias("n_pages"), (k % 4 == 3).cast("int").alias("n_grid"), (k % 5).alias("n_amendment"), (k % 150).alias("density"))
@@ -85,12 +85,12 @@ def unique_manifest_ids(spark, sf_dir):
     return catalog.unique_ids(p, "base", "p_partkey")
 
 
-@query("""WITH l AS (SELECT event_id AS ref, CASE WHEN event_id % 5 = 0 THEN NULL ELSE strftime(ts, '%Y-%m-%d') END AS last, 'c' || event_id % 3 AS sum FROM events WHERE event_id < 3000), f AS (SELECT ref, 'c' || ref % 2 AS sum FROM l WHERE ref % 4 = 0)
+@query("""WITH l AS (SELECT event_id AS ref, CASE WHEN event_id % 5 = 0 THEN NULL ELSE strftime(ts, '%Y-%m-%d') END AS last, 'c' || event_id % 3 AS sum FROM events), f AS (SELECT ref, 'c' || ref % 2 AS sum FROM l WHERE ref % 4 = 0)
 SELECT l.ref::VARCHAR AS manifest_ref, CASE WHEN f.ref IS NOT NULL THEN '2024-02-01' ELSE last END AS last_fetched_at, coalesce(f.sum, l.sum) AS checksum, CASE WHEN f.ref IS NULL THEN 'skipped' WHEN f.sum <> l.sum THEN 'updated' ELSE 'unchanged' END AS outcome FROM l LEFT JOIN f ON l.ref = f.ref""")
 def ledger_refresh(spark, sf_dir):
     k = F.col("event_id")
-    led = table(spark, sf_dir, "events").filter("event_id < 3000").select(k.cast("string").alias("manifest_ref"), F.when(k % 5 != 0, F.date_format("ts", "yyyy-MM-dd")).alias("last_fetched_at"), F.lit("P1M").alias("cadence"), F.concat(F.lit("c"), k % 3).alias("checksum"))
-    got = table(spark, sf_dir, "events").filter("event_id < 3000 AND event_id % 4 = 0").select(k.cast("string").alias("manifest_ref"), F.concat(F.lit("c"), k % 2).alias("checksum"))
+    led = table(spark, sf_dir, "events").select(k.cast("string").alias("manifest_ref"), F.when(k % 5 != 0, F.date_format("ts", "yyyy-MM-dd")).alias("last_fetched_at"), F.lit("P1M").alias("cadence"), F.concat(F.lit("c"), k % 3).alias("checksum"))
+    got = table(spark, sf_dir, "events").filter("event_id % 4 = 0").select(k.cast("string").alias("manifest_ref"), F.concat(F.lit("c"), k % 2).alias("checksum"))
     return catalog.refreshed(led, got, "2024-02-01").drop("cadence")
 
 
@@ -123,9 +123,10 @@ def layer_addresses(spark, sf_dir):
     return table(spark, sf_dir, "pages").select("page_id", PO.layer_parts(url).alias("p"), PO.zoning_service(name).alias("zoning")).select("page_id", "p.*", "zoning")
 
 
-@query("""SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'H-' || l_partkey % 9 AS zone_code, l_quantity || ' m' AS raw_a, l_linenumber || ' m' AS raw_b FROM (SELECT *, l_quantity::INT AS q FROM lineitem) WHERE l_partkey % 4 = 0""".replace("l_quantity || ' m'", "q || ' m'"))
+@query("""WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity::INT AS q FROM lineitem)
+SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'H-' || l_partkey % 9 AS zone_code, a.q || ' m' AS raw_a, l_linenumber || ' m' AS raw_b FROM l a JOIN l b USING (l_orderkey, l_linenumber, l_partkey, l_suppkey)""")
 def answers_of_two_passes(spark, sf_dir):
-    l = table(spark, sf_dir, "lineitem").filter("l_partkey % 4 = 0")
+    l = table(spark, sf_dir, "lineitem")
     key = F.to_json(F.struct(*ORDER))
     zone = F.concat(F.lit("H-"), F.col("l_partkey") % 9)
     ans = lambda z, v: F.concat(F.lit('```json\n{"zones":[{"zone_code":"'), z, F.lit('","fields":{"x":"'), v, F.lit(' m"}}]}\n```'))
@@ -158,7 +159,45 @@ def session_names(spark, sf_dir):
     return p.select("p_partkey", SG.session_only("x").alias("session"), SG.has_keyword("x", SG.ZONING_WORDS).alias("zoning"))
 
 
-@query("SELECT n_nationkey, unnest(['www.' || s || '.ca', 'www.' || s || '.qc.ca', 'www.ville.' || s || '.qc.ca', 'www.municipalite' || s || '.com']) AS host FROM (SELECT n_nationkey, regexp_replace(lower(n_name), '[^a-z]', '', 'g') AS s FROM nation)")
+SLUG = "regexp_replace(lower(n_name), '[^a-z]', '', 'g')"
+
+
+@query(f"SELECT n_nationkey, unnest(['https://cartes.' || s || '.ca', 'https://sig.' || s || '.ca', 'https://gis.' || s || '.ca', 'https://geomatique.' || s || '.ca', 'https://www.ville.' || s || '.qc.ca', 'https://ville.' || s || '.qc.ca']) AS host FROM (SELECT n_nationkey, {SLUG} AS s FROM nation)")
 def host_guesses(spark, sf_dir):
     n = table(spark, sf_dir, "nation").select("n_nationkey", F.regexp_replace(TX.fold("n_name"), "[^a-z]", "").alias("s"))
     return n.select("n_nationkey", F.explode(SG.guessed_hosts("s")).alias("host"))
+
+
+@query(r"""WITH h AS (SELECT page_id, lower(regexp_extract(url, '^[A-Za-z][A-Za-z0-9+.-]*://(?:[^/?#@]*@)?([^/:?#]+)', 1)) AS host FROM pages), b AS (SELECT page_id, nullif(host, '') AS host, regexp_replace(host, '^www\.', '') AS bare FROM h)
+SELECT page_id, unnest(CASE WHEN host IS NULL THEN [] WHEN starts_with(host, 'sig.') OR starts_with(host, 'gis.') THEN ['https://' || host] ELSE list_distinct(['https://sig.' || bare, 'https://gis.' || bare, 'https://cartes.' || bare, 'https://' || host]) END || ['https://sig.p' || page_id || '.ca', 'https://gis.p' || page_id || '.ca']) AS address FROM b""")
+def service_guesses(spark, sf_dir):
+    p = table(spark, sf_dir, "pages").select("page_id", F.explode(SG.guessed_services(F.concat(F.lit("P"), "page_id"), "url")).alias("address"))
+    return p
+
+
+MARKS = ("", "/wp-json/", "gestionweblex", "__VIEWSTATE", "/storage/app/media", "Drupal", "goazimut", "elementor-tab-title", "panel panel-default", "<table", "youtu.be", "pv-list")
+SYSTEMS = ("unknown", "WordPress", "GestionWeblex", "ASP.NET", "October", "Drupal", "GoNet/GoAzimut", "unknown", "unknown", "unknown", "unknown", "unknown")
+LAYOUTS = ("flat-html-list",) * 7 + ("wordpress-elementor-accordion", "bootstrap-panel", "static-table", "youtube-paired", "custom-session-list")
+OWN = " OR ".join(f"contains(html, '{m}')" for _, marks in (*SG.CMS, *SG.FAMILIES) for m in marks)
+
+
+@query(f"SELECT page_id, {sql_list(SYSTEMS)}[page_id % 12 + 1] AS system, {sql_list(LAYOUTS)}[page_id % 12 + 1] AS layout FROM pages WHERE NOT ({OWN})")
+def site_systems(spark, sf_dir):
+    """Whole pages that hold no mark of their own, each with one mark at its end."""
+    p = table(spark, sf_dir, "pages")
+    plain = p.filter((SG.first_marked("html", SG.CMS, "") == "") & (SG.first_marked("html", SG.FAMILIES, "") == ""))
+    marked = plain.select("page_id", "url", F.concat("html", _cycle(MARKS, F.col("page_id"))).alias("html"))
+    return marked.select("page_id", SG.cms("url", "html").alias("system"), SG.structural_family("html").alias("layout"))
+
+
+@query("""WITH c AS (SELECT s_suppkey, row_number() OVER (ORDER BY s_suppkey) - 1 AS i, s_nationkey = 3 AS hinted FROM supplier), t AS (SELECT *, hinted OR i % 10 >= 7 AS second FROM c), n AS (SELECT *, row_number() OVER (PARTITION BY second ORDER BY s_suppkey) - 1 AS turn FROM t)
+SELECT s_suppkey, CASE WHEN second THEN 'codex' ELSE 'sonnet' END AS tier, CASE WHEN second THEN ['x1', 'x2'][turn % 2 + 1] ELSE ['a1', 'a2', 'a3'][turn % 3 + 1] END AS account FROM n""")
+def hard_case_plan(spark, sf_dir):
+    c = table(spark, sf_dir, "supplier").select("s_suppkey", F.when(F.col("s_nationkey") == 3, "codex").alias("hint"), F.col("s_suppkey").alias("at"))
+    return SG.work_plan(c, "s_suppkey", "at", "hint", ["a1", "a2", "a3"], ["x1", "x2"])
+
+
+@query("""SELECT p_partkey, array_to_string(list_transform(string_split(p_brand || '.' || replace(p_name, ' ', '"'), '.'), lambda x: '"' || replace(x, '"', '""') || '"'), '.') AS name FROM part""")
+def quoted_names(spark, sf_dir):
+    p = table(spark, sf_dir, "part")
+    return p.select("p_partkey", SG.quoted_name(F.concat("p_brand", F.lit("."), F.translate("p_name", " ", '"'))).alias("name"))

@@ -52,7 +52,8 @@ def test_readings(spark):
     assert one(SG.boosted(F.array(*map(F.lit, "abcd")), ["c", "b"])) == ["b", "c", "a", "d"]
     assert sorted(SG.seeded_sample(list(range(9)), 9, 3)) == list(range(9)) and SG.seeded_sample(list(range(9)), 4, 3) == SG.seeded_sample(list(range(9)), 4, 3)
     assert one(Q.french_long(F.lit("2026-03-01"))) == "1er mars 2026" and one(Q.range_label(F.lit(1200.4), F.lit(3400.5))) == "1 200 – 3 401"
-    assert spark.range(10).transform(lambda d: SG.spread(d, "id", 3)).select("account").distinct().count() == 3
+    dealt = [{r.id: r.account for r in SG.spread(spark.range(100).repartition(n), "id", 3).collect()} for n in (1, 7)]
+    assert dealt[0] == dealt[1] and set(dealt[0].values()) == {0, 1, 2}
 
 
 def test_reports_and_description(spark):
