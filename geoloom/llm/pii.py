@@ -348,7 +348,7 @@ class Tagger:
         self.start, self.stay, self.end = unit(A[0, 1:] - A[0, 0]), unit(np.diag(A)[1:] - A[0, 0]), unit(A[1:, 0] - A[0, 0])
 
     def _half(self, d: str, xs: np.ndarray) -> np.ndarray:
-        """xs (T, B), read from the top → what the states of one direction add to the leads, (B, T, kinds)."""
+        """xs (T, B), read from the top → what the states of one direction add to the leads, (B, kinds, T)."""
         T, B = xs.shape
         H, E, M, O = HIDDEN, EMBED, self.M[d], self.O[d]
         u = np.zeros((E + H + 1, B), np.float32)
@@ -368,20 +368,21 @@ class Tagger:
             np.tanh(c, out=tmp)
             np.multiply(z[2 * H : 3 * H], tmp, out=u[E : E + H])
             np.matmul(O, u[E : E + H], out=out[t])
-        return np.ascontiguousarray(out.transpose(2, 0, 1))
+        return np.ascontiguousarray(out.transpose(2, 1, 0))
 
     def window_leads(self, parts: list[np.ndarray]) -> list[np.ndarray]:
-        """What each kind leads "none" by, (n, kinds), for windows of classes. Each lane begins with its own window in both directions."""
+        """What each kind leads "none" by, (kinds, n), for windows of classes. Each lane begins with its own window in both directions."""
         T, B = max(map(len, parts)), -(-len(parts) // 64) * 64
         ahead, back = np.zeros((T, B), np.uint8), np.zeros((T, B), np.uint8)
         for r, x in enumerate(parts):
             ahead[: len(x), r], back[: len(x), r] = x, x[::-1]
         f, b = self._half("f", ahead), self._half("b", back)
-        return [f[r, : len(x)] + b[r, : len(x)][::-1] + self.bias for r, x in enumerate(parts)]
+        f += self.bias[:, None]
+        return [f[r, :, : len(x)] + b[r, :, len(x) - 1 :: -1] if len(x) < T else f[r] + b[r, :, ::-1] for r, x in enumerate(parts)]
 
     def leads(self, coded: list[np.ndarray]) -> list[np.ndarray]:
         """What each kind leads "none" by at every character of every text, the windows' overlaps averaged."""
-        out: list[np.ndarray] = [np.zeros((len(c), len(KINDS)), np.float32) for c in coded]
+        out: list[np.ndarray] = [np.zeros((len(KINDS), len(c)), np.float32) for c in coded]
         weight: dict[int, np.ndarray] = {}
         jobs = sorted((e - s, k, s, e) for k, c in enumerate(coded) for s, e in windows(len(c)))
         for at in range(0, len(jobs), LANES):
@@ -395,31 +396,31 @@ class Tagger:
                 w = np.minimum(i + 1 if s else np.float32(WINDOW), n - i if e < size else np.float32(WINDOW))
                 total = weight.setdefault(k, np.zeros(size, np.float32))
                 # summed as multiples of a power of two, so the order of the windows plays no part
-                out[k][s:e] += np.rint(got * 64) * w[:, None]
+                out[k][:, s:e] += np.rint(got * 64) * w
                 total[s:e] += w
         for k, total in weight.items():
-            out[k] /= 64 * total[:, None]
+            out[k] /= 64 * total
         return out
 
     def runs(self, lead: np.ndarray) -> list[tuple[int, int, int]]:
         """(kind, start, end) of the spans of the best path over a whole text, by their places."""
-        n = len(lead)
+        n = lead.shape[1]
         if not n:
             return []
-        q = np.rint(lead * UNIT).astype(np.int64)
-        stay, begin, leave = np.array(self.stay), np.array(self.start), np.array(self.end)
-        total = np.cumsum(q + stay, axis=0)
-        # a span [a, b] gains low_end[b] - high_start[a] - stay
-        opened = total - (q + stay) - begin
-        opened[0] += begin
-        closed = total + leave
-        closed[-1] -= leave
-        best_end = np.maximum.accumulate(closed[::-1], axis=0)[::-1]
-        inside = (best_end - np.minimum.accumulate(opened, axis=0) > stay).any(axis=1)
+        # whole numbers, which doubles add exactly
+        q = np.rint(lead * np.float64(UNIT))
+        stay, begin, leave = (np.array(x, np.float64)[:, None] for x in (self.stay, self.start, self.end))
+        closed = np.cumsum(q + stay, axis=1)
+        # a span [a, b] gains closed[b] - opened[a] - stay
+        opened = closed - q - (stay + begin)
+        opened[:, :1] += begin
+        closed[:, :-1] += leave
+        best_end = np.maximum.accumulate(closed[:, ::-1], axis=1)[:, ::-1]
+        inside = (best_end - np.minimum.accumulate(opened, axis=1) > stay).any(axis=0)
         if not inside.any():
             return []
         edges = np.flatnonzero(np.diff(inside, prepend=False, append=False))
-        return [r for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()) for r in self._path(q[a:b].tolist(), a, a == 0, b == n)]
+        return [r for a, b in zip(edges[::2].tolist(), edges[1::2].tolist()) for r in self._path(q[:, a:b].T.tolist(), a, a == 0, b == n)]
 
     def _path(self, q: list[list[int]], at: int, first: bool, last: bool) -> list[tuple[int, int, int]]:
         """The spans of the best path over some places with none before and after (unless the text begins or ends there); ties go to "none"."""

@@ -193,8 +193,8 @@ def test_pii_path_is_the_best_of_the_whole_text(tagger):
         return max(now)
 
     for n in [1, 2, *rng.integers(3, 80, 150)]:
-        lead = rng.normal(-1, 3, (n, len(pii.KINDS))).astype(np.float32)
-        q = np.rint(lead * pii.UNIT).astype(int).tolist()
+        lead = rng.normal(-1, 3, (len(pii.KINDS), n)).astype(np.float32)
+        q = np.rint(lead * np.float64(pii.UNIT)).astype(int).T.tolist()
         runs = tagger.runs(lead)
         score = sum(sum(q[t][k] for t in range(a, b)) + (b - a - 1) * tagger.stay[k] + (tagger.start[k] if a else 0) + (tagger.end[k] if b < n else 0) for k, a, b in runs)
         assert score == best(q) and all(x[2] < y[1] for x, y in zip(runs, runs[1:]))
