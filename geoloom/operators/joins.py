@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from geoloom.functions import geometry as G
 from geoloom.functions.quantities import pct1
 from geoloom.functions.text import norm_name, split_slug
+from geoloom.lineage import cut
 
 
 def first_wins(df: DataFrame, key: str, *order: str) -> DataFrame:
@@ -108,10 +109,33 @@ def by_prefix(left: DataFrame, left_id: str, slug: str, registry: DataFrame, nam
     return hits.groupBy(left_id).agg(F.min_by(payload, "rank").alias(payload))
 
 
-def closest(left: DataFrame, right: DataFrame, key: str, left_id: str, distance: Column, payload: list[str], tie: str) -> DataFrame:
-    """For each left row, the right row of the same key at the least distance (ties: smaller ``tie``)."""
-    both = left.join(right, key)
-    return both.groupBy(left_id).agg(F.min_by(F.struct(*payload), F.struct(distance.alias("d"), F.col(tie).alias("t"))).alias("c")).select(left_id, "c.*")
+def closest(left: DataFrame, right: DataFrame, key: str, left_id: str, at: str, to: str, payload: list[str], tie: str) -> DataFrame:
+    """left_id, payload: for each left row, of the right row of the same key whose number ``to`` is nearest to its ``at`` (ties: smaller ``tie``).
+
+    Both sides are sorted together by key and number and dealt to tasks as ranges, however many rows a key or a number has.
+    The nearest right rows are the last one at or before it and the first one after, in the row's own range or, by the
+    ends of the ranges (one row for each range and key), in another.  Rows without a key or a number, and those whose key has
+    no right row, get none.
+    """
+    number = lambda c: F.col(c).cast("double").alias("cl_at")
+    asked = left.select(F.col(key).alias("cl_key"), number(at), F.col(left_id).alias("cl_id"))
+    spots = right.select(F.col(key).alias("cl_key"), number(to), F.struct(F.col(to).cast("double").alias("at"), F.col(tie).alias("tie"), F.struct(*payload).alias("row")).alias("cl_spot"))
+    firsts = spots.groupBy("cl_key", "cl_at").agg(F.min_by("cl_spot", "cl_spot.tie").alias("cl_spot"))
+    both = asked.unionByName(firsts, allowMissingColumns=True).filter("cl_key IS NOT NULL AND cl_at IS NOT NULL")
+    # the ranges are drawn from a sample: read twice, they must be the same
+    dealt = cut(both.repartitionByRange("cl_key", "cl_at", "cl_id").withColumn("cl_part", F.spark_partition_id()))
+
+    def last(what: str, by: list[str], *order: Column, to: int = Window.currentRow) -> Column:
+        return F.last(what, ignorenulls=True).over(Window.partitionBy(*by).orderBy(*order).rowsBetween(Window.unboundedPreceding, to))
+
+    spot_at = F.col("cl_spot.at")
+    ends = dealt.groupBy("cl_key", "cl_part").agg(F.min_by("cl_spot", spot_at).alias("low"), F.max_by("cl_spot", spot_at).alias("high"))
+    ends = ends.withColumns({"cl_c": last("high", ["cl_key"], F.col("cl_part"), to=-1), "cl_d": last("low", ["cl_key"], F.desc("cl_part"), to=-1)}).drop("low", "high")
+    own = ["cl_part", "cl_key"]
+    near = dealt.withColumns({"cl_a": last("cl_spot", own, F.col("cl_at"), F.col("cl_spot").isNull()), "cl_b": last("cl_spot", own, F.desc("cl_at"))}).filter("cl_spot IS NULL")
+    spots = F.filter(F.array("cl_a", "cl_b", "cl_c", "cl_d"), lambda s: s.isNotNull())
+    best = F.array_min(F.transform(spots, lambda s: F.struct(F.abs(F.col("cl_at") - s["at"]).alias("d"), s["tie"].alias("tie"), s["row"].alias("row"))))
+    return near.join(ends, own).select(F.col("cl_id").alias(left_id), best["row"].alias("c")).filter("c IS NOT NULL").select(left_id, "c.*")
 
 
 def set_overlap(left: DataFrame, right: DataFrame, by: str, code: str) -> DataFrame:

@@ -73,7 +73,7 @@ def longest_prefix_lookup(spark, sf_dir):
 @query("""SELECT c_custkey, arg_min(s_suppkey, (abs(c_acctbal - s_acctbal), s_suppkey)) AS s_suppkey FROM customer JOIN supplier ON s_nationkey = c_nationkey GROUP BY c_custkey""")
 def homonym_min_popdiff(spark, sf_dir):
     c, s = table(spark, sf_dir, "customer").withColumn("k", F.col("c_nationkey")), table(spark, sf_dir, "supplier").withColumn("k", F.col("s_nationkey"))
-    return J.closest(c.select("k", "c_custkey", "c_acctbal"), s.select("k", "s_suppkey", "s_acctbal"), "k", "c_custkey", F.abs(F.col("c_acctbal") - F.col("s_acctbal")), ["s_suppkey"], "s_suppkey")
+    return J.closest(c, s, "k", "c_custkey", "c_acctbal", "s_acctbal", ["s_suppkey"], "s_suppkey")
 
 
 CODES = "SELECT DISTINCT p_type AS grp, regexp_replace(replace(upper(p_brand), ' ', ''), '^([A-Z]+)-?0*([0-9])', '\\1-\\2') AS code FROM part WHERE {}"

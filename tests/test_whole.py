@@ -61,3 +61,25 @@ def test_scope_of_long_prefixes_and_equal_rows(spark):
     names = spark.createDataFrame([(long,), ("a",), ("a",), ("abc",), (None,)], "w string")
     assert sorted(r.name for r in joins.in_scope(rows, names, "name", "w").collect()) == ["ab", "ab", long, long + "-nord"]
     assert joins.in_scope(rows, names.limit(0), "name", "w").count() == 0 and joins.in_scope(rows, spark.createDataFrame([("",)], "w string"), "name", "w").count() == 6
+
+
+def test_closest_in_a_hot_key(spark):
+    import random
+
+    draw = random.Random(3)
+    # key 1 holds most rows of both sides and number 50 many of them; key 2 has no right rows, key 3 no left ones
+    left = [(1, i, float(draw.choice([50, draw.randrange(1000)]))) for i in range(900)] + [(2, 900, 1.0), (4, 901, 5.0), (None, 902, 1.0), (4, 903, None)]
+    right = [(1, i, float(draw.randrange(0, 1000, 7)), f"r{i}") for i in range(300)] + [(3, 300, 1.0, "x"), (4, 302, 9.0, "up"), (4, 301, 1.0, "down"), (4, 303, None, "none"), (None, 304, 1.0, "null")]
+    want = {}
+    for k, i, a in left:
+        hits = [(abs(a - b), t, p) for q, t, b, p in right if k is not None and q == k and a is not None and b is not None]
+        if hits:
+            want[i] = min(hits)[2]
+    l, r = spark.createDataFrame(left, "k int, id int, a double").repartition(5), spark.createDataFrame(right, "k int, t int, b double, p string").repartition(3)
+    spark.conf.set("spark.sql.adaptive.coalescePartitions.enabled", "false")
+    try:
+        got = joins.closest(l, r, "k", "id", "a", "b", ["p"], "t").collect()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
+    assert len(got) == len(want) and {x.id: x.p for x in got} == want
+    assert joins.closest(l, r.limit(0), "k", "id", "a", "b", ["p"], "t").count() == 0 and joins.closest(l.limit(0), r, "k", "id", "a", "b", ["p"], "t").count() == 0
