@@ -3,12 +3,13 @@
 from __future__ import annotations
 
 import gc
-import tempfile
 import uuid
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from geoloom.lineage import cut, shared_dir
+
 #: The white space of the contracts: space and the five ASCII controls 9 to 13.
 SPACE = r"[\x20\x09-\x0D]+"
 
@@ -17,28 +18,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``.
-
-    Only a local session may go without one; it then gets a temporary folder.
-    """
-    sc = spark.sparkContext
-    at = sc.getConf().get("spark.checkpoint.dir") or spark.conf.get("spark.checkpoint.dir", None) or sc.getCheckpointDir()
-    if not at:
-        if not sc.master.startswith("local") or sc.master.startswith("local-cluster"):
-            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-        at = tempfile.mkdtemp(prefix="geoloom-")
-    if not sc.getCheckpointDir():
-        sc.setCheckpointDir(at)
-    return at
-
-
-def cut(df: DataFrame) -> DataFrame:
-    """Materialise a small table in the shared checkpoint folder and forget its lineage."""
-    shared_dir(df.sparkSession)
-    return df.checkpoint()
-
-
 #: Folders that written() has made in this process and discard() has not deleted yet.
 _WRITTEN: list[str] = []
 

@@ -46,9 +46,10 @@ def op7_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    # whole documents are replicated, shuffled and written; the query lists the copies
+    # whole documents are replicated, shuffled and written; length and digest are those of each copy's text after that
     got = written(mixing.mixed(table(spark, sf_dir, "documents")), "mixed")
-    return got.select("doc_id", "source", F.col("mix_copies").alias("copies"), F.col("mix_copy").alias("copy_no"), F.col("mix_order").alias("shuffle_key"))
+    text = [F.length("text").cast("long").alias("text_chars"), F.md5(F.col("text").cast("binary")).alias("text_md5")]
+    return got.select("doc_id", "source", F.col("mix_copies").alias("copies"), F.col("mix_copy").alias("copy_no"), F.col("mix_order").alias("shuffle_key"), *text)
 
 
 def op9_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -97,10 +98,10 @@ cdf AS (
   SELECT source, k, sum(exp(-mean + k * ln(mean) - lgamma(k + 1))) OVER (PARTITION BY source ORDER BY k) AS up
   FROM (SELECT source, mean, unnest(range(0, ceil(mean + 12 * sqrt(mean) + 40)::BIGINT + 1)) AS k FROM m)
 ),
-u AS (SELECT doc_id, source, ('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u FROM documents),
-c AS (SELECT doc_id, u.source, count(*)::INT AS copies FROM u JOIN cdf ON u.source = cdf.source AND cdf.up <= u.u GROUP BY ALL),
-e AS (SELECT doc_id, source, copies, unnest(range(1, copies + 1))::INT AS copy_no FROM c)
-SELECT doc_id, source, copies, copy_no, substr(md5('7:' || coalesce(doc_id::VARCHAR, '') || ':' || copy_no::VARCHAR), 1, 16) AS shuffle_key FROM e
+u AS (SELECT row_number() OVER () AS r, doc_id, source, length(text) AS text_chars, md5(text) AS text_md5, ('0x' || substr(md5('7:' || coalesce(doc_id::VARCHAR, '')), 1, 13))::BIGINT::DOUBLE / 4503599627370496.0 AS u FROM documents),
+c AS (SELECT r, doc_id, u.source, text_chars, text_md5, count(*)::INT AS copies FROM u JOIN cdf ON u.source = cdf.source AND cdf.up <= u.u GROUP BY ALL),
+e AS (SELECT *, unnest(range(1, copies + 1))::INT AS copy_no FROM c)
+SELECT doc_id, source, copies, copy_no, substr(md5('7:' || coalesce(doc_id::VARCHAR, '') || ':' || copy_no::VARCHAR), 1, 16) AS shuffle_key, text_chars, text_md5 FROM e
 """
 
 
