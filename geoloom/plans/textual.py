@@ -9,6 +9,7 @@ from geoloom.functions import quantities as Q
 from geoloom.functions import text as TX
 from geoloom.operators import extract as X
 from geoloom.operators import gates as GA
+from geoloom.operators import signals as SG
 
 from .registry import FOLD, query, table
 
@@ -150,3 +151,41 @@ def ranked_subpages(spark, sf_dir):
     a = X.anchors(table(spark, sf_dir, "pages"), "page_id", "html").withColumn("score", F.length("href"))
     rank = F.row_number().over(Window.partitionBy("page_id").orderBy(F.desc("score"), "pos"))
     return a.withColumn("rank", rank.cast("long")).filter("rank <= 5").select("page_id", "href", "rank")
+
+
+LABELS = ("Grille des spécifications", "Plan de zonage", "Service d'urbanisme", "Règlements", "Loisirs", "Nous joindre", "Règlement de zonage", "Règlement modifiant le zonage")
+
+
+def _site_links(spark, sf_dir):
+    """Every link of every page, named by its place as on a town's site; every second one is a PDF file, every fifth is on another site."""
+    rows = table(spark, sf_dir, "pages").select("page_id", "url", F.posexplode(TX.anchors("html")).alias("pos", "href")).filter("href <> ''")
+    turn = F.col("page_id") + F.col("pos")
+    site = F.when(turn % 5 == 0, "https://autre.example.org").otherwise(F.regexp_extract("url", "^[a-z]+://[^/?#]+", 0))
+    address = F.concat(site, F.col("href"), F.when(F.col("pos") % 2 == 0, ".pdf").otherwise(""))
+    return rows.select("page_id", "url", address.alias("address"), F.element_at(F.array(*map(F.lit, LABELS)), (turn % len(LABELS) + 1).cast("int")).alias("label"), "pos")
+
+
+LINKS = f"""a AS (SELECT page_id, url, unnest({ANCHORS}) AS href, generate_subscripts({ANCHORS}, 1) - 1 AS pos FROM pages),
+l AS (SELECT page_id, url, CASE WHEN (page_id + pos) % 5 = 0 THEN 'https://autre.example.org' ELSE regexp_extract(url, '^[a-z]+://[^/?#]+') END || href || CASE WHEN pos % 2 = 0 THEN '.pdf' ELSE '' END AS address,
+  list_extract([{", ".join("'" + x.replace("'", "''") + "'" for x in LABELS)}], (page_id + pos) % {len(LABELS)} + 1) AS label, pos FROM a WHERE href <> ''),
+f AS (SELECT *, {FOLD.format("concat_ws(' ', label, address)")} AS said FROM l)"""
+
+
+def _sum_of(spec) -> str:
+    return " + ".join("regexp_matches(said, '" + p.replace("'", "''") + f"')::INT * {w}" for p, w in spec)
+
+
+@query(rf"""WITH {LINKS}, s AS (SELECT page_id, address, label, pos, {_sum_of(GA.GRID_WEIGHTS)} AS score FROM f WHERE regexp_matches(address, '(?i)\.pdf(?:[?#].*)?$')),
+b AS (SELECT page_id, address, arg_min(label, (-score, pos)) AS label, max(score)::INT AS score, arg_min(pos, (-score, pos)) AS pos FROM s WHERE score >= 4 GROUP BY page_id, address)
+SELECT page_id, address, label, score, row_number() OVER (PARTITION BY page_id ORDER BY score DESC, pos) AS rank FROM b""")
+def grid_files(spark, sf_dir):
+    return SG.grid_links(_site_links(spark, sf_dir), "page_id", "address", "label", "pos").withColumn("rank", F.col("rank").cast("long"))
+
+
+@query(rf"""WITH {LINKS}, s AS (SELECT page_id, address, label, pos, 1 + regexp_matches(said, 'grille|specification')::INT * 4 + regexp_matches(said, 'zonage')::INT * 3 + regexp_matches(said, 'urbanism')::INT * 2 + regexp_matches(said, 'reglement')::INT AS score FROM f
+  WHERE (page_id + pos) % 5 <> 0 AND address <> url AND NOT regexp_matches(address, '(?i)\.(pdf|docx?|odt)([?#].*)?$') AND regexp_matches(said, 'urbanism|zonage|reglement|amenagement|grille|specification|permis')
+  AND NOT regexp_matches(said, 'facebook|twitter|instagram|linkedin|youtube|mailto:|tel:|/(en|es)/|login|connexion|panier|cart')),
+b AS (SELECT page_id, address, arg_min(label, pos) AS label, arg_min(score, pos)::INT AS score, min(pos) AS pos FROM s GROUP BY page_id, address)
+SELECT page_id, address, label, score, row_number() OVER (PARTITION BY page_id ORDER BY score DESC, pos) AS rank FROM b QUALIFY rank <= 5""")
+def followed_pages(spark, sf_dir):
+    return SG.subpages(_site_links(spark, sf_dir), "page_id", "url", "address", "label", "pos").withColumn("rank", F.col("rank").cast("long"))
