@@ -194,11 +194,6 @@ def needs_browser(html) -> Column:
     return F.when(s.rlike("cf-challenge|just a moment|captcha"), "challenge").when(s.rlike("""<div id=["'](?:root|app|__next)["']>\\s*</div>""") & (anchors < 3) & (F.length(s) < 60_000), "application")
 
 
-def amendment_pages(pages: DataFrame, doc: str, text: str) -> DataFrame:
-    mark = fold(text).rlike(r"modifie par le reglement|reglement modifiant|amende|abroge|attendu que|le conseil decrete")
-    return pages.groupBy(doc).agg(F.count("*").alias("n_pages"), F.count_if(mark).alias("n_amendment"))
-
-
 # Fixed value: fewer letters a page are a scan.
 IMAGE_ONLY = 60
 

@@ -9,6 +9,7 @@ from geoloom.functions import quantities as Q
 from geoloom.functions import text as TX
 from geoloom.operators import extract as X
 from geoloom.operators import gates as GA
+from geoloom.operators import pages as PG
 from geoloom.operators import signals as SG
 
 from .registry import FOLD, query, table
@@ -189,3 +190,56 @@ b AS (SELECT page_id, address, arg_min(label, pos) AS label, arg_min(score, pos)
 SELECT page_id, address, label, score, row_number() OVER (PARTITION BY page_id ORDER BY score DESC, pos) AS rank FROM b QUALIFY rank <= 5""")
 def followed_pages(spark, sf_dir):
     return SG.subpages(_site_links(spark, sf_dir), "page_id", "url", "address", "label", "pos").withColumn("rank", F.col("rank").cast("long"))
+
+
+def _grid_file() -> str:
+    """Each document's whole text and, on pages of their own, lines made from its id: tables, heads, banners, legal text, prose, blank pages."""
+    n, b = "doc_id % {}", "chr({})".format
+    made = (
+        ("'Grille des spécifications'", b(10), "'Marge avant minimale (m) '", n.format(9), b(10), "'a) Hauteur max. 2 étages'", f"CASE WHEN {n.format(3)} = 1 THEN ';' ELSE '' END", b(10), "'Zone : H-'", n.format(70), b(10), "'Largeur minimale (m) 12'"),
+        ("'Zones H-'", "doc_id * 37 % 2000", "' H-'", n.format(77), "', AG-'", n.format(55)),
+        ("'Numéros  de zones 101 '", "doc_id * 37 % 20000", "' 104'"),
+        (f"CASE WHEN {n.format(3)} = 0 THEN 'USAGES' ELSE 'GRILLES DES USAGES' END", b(10), "'No zone R-'", n.format(50), "' 102'"),
+        ("'Avis de motion : règlement '", n.format(90)),
+        ("'Les zones H-1, H-2, H-'", n.format(90), "' sont.'", b(12), b(12), "'Séance du conseil'"),
+        ("'Usage Lotissement LARGEUR Superficie Hauteur'", f"CASE WHEN {n.format(3)} = 0 THEN ' marges' ELSE ' Marge' END"),
+        ("'Grilles d e s  spécification'", b(10), "'Marge max. 1'", b(10), "'Densité max. 1'", b(10), "'Emprise max. '", f"CASE WHEN {n.format(3)} = 0 THEN 'x' ELSE '4' END"),
+    )
+    page = " ".join(f"WHEN {n.format(len(made) + 2)} = {i} THEN concat({', '.join(parts)})" for i, parts in enumerate(made))
+    blank = f"repeat({b(12)}, CASE WHEN {n.format(3)} = 0 THEN 60 ELSE 0 END)"
+    return f"concat(coalesce(text, ''), {b(12)}, CASE {page} ELSE '' END, {blank})"
+
+
+GRID_FILE = _grid_file()
+
+
+LOW = FOLD.format("x")
+PROSE_LINE = r"regexp_matches(x, '[;.]\s*$') AND contains(x, ',')"
+CODE_WORDS = r"list_distinct(list_filter(list_transform(string_split_regex(trim(x), '\s+'), lambda w: regexp_replace(w, '[,;]+$', '')), lambda w: regexp_matches(w, '^[A-Z]{1,3}-?[0-9]{1,3}[a-z]?$')))"
+PAGE_SIGNALS = rf"""f AS (SELECT doc_id, string_split({GRID_FILE}, chr(12)) AS l FROM documents),
+g AS (SELECT doc_id, CASE WHEN l[-1] = '' THEN l[1:len(l) - 1] ELSE l END AS l FROM f),
+p AS (SELECT doc_id, unnest(l) AS page, generate_subscripts(l, 1) AS n FROM g),
+r AS (SELECT doc_id, n, page, regexp_replace({FOLD.format('page')}, '\s+', ' ', 'g') AS plain, string_split(page, chr(10)) AS lines FROM p),
+c AS (SELECT *, len(list_filter(lines, lambda x: regexp_matches({LOW}, '{PG.NORM}') AND regexp_matches({LOW}, '{PG.QUALIFIER}') AND regexp_matches(x, '{PG.CELL}') AND NOT ({PROSE_LINE}) AND NOT (regexp_matches(x, '[;.]\s*$') AND regexp_matches(x, '{PG.POINT}')))) AS n_rows,
+ len(list_filter(lines, lambda x: len({CODE_WORDS}) >= 3 AND 2 * len({CODE_WORDS}) >= len(string_split_regex(trim(x), '\s+')) AND NOT ({PROSE_LINE}))) AS heads FROM r),
+s AS (SELECT doc_id, n, length(page) AS chars, n_rows >= 3 AND regexp_matches(replace(plain, ' ', ''), '{PG.TITLE}') AS title_table,
+ {' + '.join(f"regexp_matches(page, '(?i){h}')::INT" for h in PG.HEADINGS)} >= 6 AS native,
+ len(list_filter(lines, lambda x: regexp_matches(regexp_replace({LOW}, '\s+', ' ', 'g'), '{PG.NUMBERED}'))) > 0 OR heads >= 2 OR (heads = 1 AND (n_rows > 0 OR regexp_matches(plain, '{PG.CONTEXT}'))) AS zone_header,
+ regexp_matches(plain, '{PG.WIDE_TITLE}') AND (heads > 0 OR n_rows >= 3 OR len(list_filter(lines, lambda x: regexp_matches(x, '{PG.BANNER}'))) > 0) AS title_gated,
+ len(list_filter(lines, lambda x: regexp_matches({LOW}, '{PG.OWN_ZONE}'))) > 0 AS own_zone, regexp_matches(plain, '{PG.LEGAL}') AS legal FROM c)"""
+
+
+@query(f"""WITH {PAGE_SIGNALS}, t AS (SELECT doc_id, count(*) AS n_pages, sum(chars) AS n_chars, count(*) FILTER (title_table) AS n_title_table, count(*) FILTER (native) AS n_native, count(*) FILTER (zone_header) AS n_zone_header, count(*) FILTER (legal) AS n_legal,
+ count(*) FILTER (title_table OR native OR zone_header OR title_gated) AS n_grid, coalesce(min(n) FILTER (title_table OR native OR zone_header OR title_gated), 0) AS first_grid, coalesce(max(n) FILTER (title_table OR native OR zone_header OR title_gated), 0) AS last_grid,
+ coalesce(min(n) FILTER (zone_header), 0) AS first_header, coalesce(max(n) FILTER (zone_header), 0) AS last_header FROM s GROUP BY doc_id)
+SELECT doc_id, CASE WHEN coalesce(n_grid, 0) > 0 THEN 'grille' WHEN coalesce(n_chars / n_pages, 0) < 60 THEN 'plan-image' WHEN n_legal > 0 THEN 'reglement' ELSE 'unknown' END AS kind, coalesce(n_pages, 0)::INT AS n_pages, coalesce(n_chars, 0)::BIGINT AS n_chars,
+ coalesce(floor(n_chars / n_pages * 10 + 0.5) / 10, 0)::DOUBLE AS density, {', '.join(f'coalesce({k}, 0)::INT AS {k}' for k in ('n_title_table', 'n_native', 'n_zone_header', 'n_grid', 'first_grid', 'last_grid', 'first_header', 'last_header', 'n_legal'))} FROM (SELECT doc_id FROM documents) LEFT JOIN t USING (doc_id)""")
+def document_classes(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", PG.document_class(F.expr(GRID_FILE)).alias("c")).select("doc_id", "c.*")
+
+
+@query(f"""WITH {PAGE_SIGNALS} SELECT doc_id, min(n)::INT AS first_page, max(n)::INT AS last_page, count(*)::INT AS n_pages, CASE WHEN 2 * count(*) FILTER (own_zone) >= count(*) THEN 'one-zone-per-page' ELSE 'multi-zone-per-page' END AS layout,
+ floor(count(*)::DOUBLE / (max(n) - min(n) + 1) * 1000 + 0.5) / 1000 AS confidence FROM s WHERE title_table GROUP BY doc_id""")
+def grid_spans(spark, sf_dir):
+    spans = table(spark, sf_dir, "documents").select("doc_id", PG.grid_span(F.expr(GRID_FILE)).alias("g"))
+    return spans.filter("g IS NOT NULL").select("doc_id", "g.*")
