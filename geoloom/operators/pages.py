@@ -42,12 +42,22 @@ LEGAL = (
 )
 
 
-def _lines(page) -> Column:
-    return F.split(page, "\n")
+# What a page must hold for one of its lines to be of a kind: read first, as it spares most pages the lines.
+MAY_HOLD_CODES, MAY_NAME_ZONE = "[A-Z]-?[0-9]", "zone"
+
 
+def _wide(pattern: str) -> str:
+    """The pattern, whose blanks may be hard spaces too."""
+    return pattern.replace(r"\s", r"[\s\x{A0}\x{FEFF}]")
 
-def _spaced(page) -> Column:
-    return F.regexp_replace(fold(page), SPACES, " ")
+
+def _low(page) -> Column:
+    """fold, with the table of accents only for texts that are not ASCII."""
+    return let(col(page), lambda p: F.when(p.rlike(r"[^\x00-\x7F]"), fold(p)).otherwise(F.lower(p)))
+
+
+def _lines(page) -> Column:
+    return F.split(page, "\n")
 
 
 def pages_of(text, breaker: str = "\f") -> Column:
@@ -57,17 +67,21 @@ def pages_of(text, breaker: str = "\f") -> Column:
 
 
 def has_title(page) -> Column:
-    return F.regexp_replace(fold(page), SPACES, "").rlike(TITLE)
+    return F.regexp_replace(_low(page), SPACES, "").rlike(TITLE)
 
 
 def norm_line(line) -> Column:
     """Whether a line is a row of norms and no prose."""
     prose = line.rlike(SENTENCE) & (line.rlike(POINT) | F.contains(line, F.lit(",")))
-    return let(fold(line), lambda s: s.rlike(NORM) & s.rlike(QUALIFIER) & s.rlike(CELL)) & ~prose
+    return line.rlike(CELL) & let(_low(line), lambda s: s.rlike(NORM) & s.rlike(QUALIFIER)) & ~prose
+
+
+def _rows(page: Column, low: Column) -> Column:
+    return F.when(low.rlike(NORM), F.size(F.filter(_lines(page), norm_line))).otherwise(0)
 
 
 def norm_rows(page) -> Column:
-    return F.size(F.filter(_lines(col(page)), norm_line))
+    return _rows(col(page), _low(page))
 
 
 def codes_of(line) -> Column:
@@ -79,47 +93,60 @@ def codes_of(line) -> Column:
 def heads_codes(line) -> Column:
     """Whether a line heads columns of zones: three codes that are half of its words, and no sentence with commas."""
     words = F.size(F.filter(F.split(col(line), r"\s+"), lambda w: w != ""))
-    n = F.size(codes_of(line))
-    return (n >= LEAST_CODES) & (n * 2 >= words) & ~(col(line).rlike(SENTENCE) & F.contains(col(line), F.lit(",")))
+    counted = let(F.size(codes_of(line)), lambda n: (n >= LEAST_CODES) & (n * 2 >= words))
+    return col(line).rlike(MAY_HOLD_CODES) & counted & ~(col(line).rlike(SENTENCE) & F.contains(col(line), F.lit(",")))
 
 
 def heads_numbers(line) -> Column:
     """Whether a line says that the numbers after it are zones."""
-    return _spaced(line).rlike(NUMBERED)
+    return _low(line).rlike(_wide(NUMBERED))
+
 
+def _own_zone(low: Column) -> Column:
+    return low.rlike(MAY_NAME_ZONE) & F.exists(_lines(low), lambda x: x.rlike(_wide(OWN_ZONE)))
 
-def _any(page, pattern: str, read=lambda x: x) -> Column:
-    return F.exists(_lines(page), lambda x: read(x).rlike(pattern))
+
+def table_signals(page) -> Column:
+    """title_table, own_zone of a page's text (missing: empty)."""
+
+    def read(p: Column) -> Column:
+        return let(_low(p), lambda low: F.struct(((_rows(p, low) >= LEAST_ROWS) & has_title(p)).alias("title_table"), _own_zone(low).alias("own_zone")))
+
+    return let(F.coalesce(col(page), F.lit("")), read)
 
 
 def page_signals(page) -> Column:
-    """chars, title_table, native, zone_header, title_gated, own_zone, legal of a page's text (missing: empty)."""
+    """chars, title_table, native, zone_header, title_gated, own_zone, legal of a page's text (missing: empty).
+
+    A test of lines is put only to pages that can pass it, by a wider test of the whole page.
+    """
 
     def read(p: Column) -> Column:
-        counted = F.struct(norm_rows(p).alias("rows"), F.size(F.filter(_lines(p), heads_codes)).alias("heads"), _spaced(p).alias("plain"))
-
-        def judged(c: Column) -> Column:
-            rows, heads, plain = c["rows"], c["heads"], c["plain"]
-            headings = sum((p.rlike("(?i)" + h).cast("int") for h in HEADINGS), F.lit(0))
-            numbered = F.exists(_lines(p), heads_numbers)
-            return F.struct(
-                F.length(p).alias("chars"),
-                (has_title(p) & (rows >= LEAST_ROWS)).alias("title_table"),
-                (headings >= LEAST_HEADINGS).alias("native"),
-                (numbered | (heads >= 2) | ((heads == 1) & (plain.rlike(CONTEXT) | (rows >= 1)))).alias("zone_header"),
-                (plain.rlike(WIDE_TITLE) & ((heads >= 1) | _any(p, BANNER) | (rows >= LEAST_ROWS))).alias("title_gated"),
-                _any(p, OWN_ZONE, fold).alias("own_zone"),
-                plain.rlike(LEGAL).alias("legal"),
-            )
-
-        return let(counted, judged)
+        return let(_low(p), lambda low: let(F.struct(low.alias("low"), _rows(p, low).alias("rows"), heads(p).alias("heads")), lambda c: judged(p, c["low"], c["rows"], c["heads"])))
+
+    def heads(p: Column) -> Column:
+        return F.when(p.rlike(MAY_HOLD_CODES), F.size(F.filter(_lines(p), heads_codes))).otherwise(0)
+
+    def judged(p: Column, low: Column, rows: Column, heads: Column) -> Column:
+        # six of eight headings: of any three, one at least
+        headings = let(F.lower(p), lambda s: F.when(s.rlike("|".join(HEADINGS[-3:])), sum((s.rlike(h).cast("int") for h in HEADINGS), F.lit(0))).otherwise(0))
+        numbered = low.rlike(_wide(NUMBERED)) & F.exists(_lines(low), lambda x: x.rlike(_wide(NUMBERED)))
+        return F.struct(
+            F.length(p).alias("chars"),
+            ((rows >= LEAST_ROWS) & has_title(p)).alias("title_table"),
+            (headings >= LEAST_HEADINGS).alias("native"),
+            ((heads >= 2) | ((heads == 1) & ((rows >= 1) | low.rlike(CONTEXT))) | numbered).alias("zone_header"),
+            (low.rlike(_wide(WIDE_TITLE)) & ((heads >= 1) | (rows >= LEAST_ROWS) | F.exists(_lines(p), lambda x: x.rlike(_wide(BANNER))))).alias("title_gated"),
+            _own_zone(low).alias("own_zone"),
+            low.rlike(_wide(LEGAL)).alias("legal"),
+        )
 
     return let(F.coalesce(col(page), F.lit("")), read)
 
 
 def amendment_pages(pages: DataFrame, doc: str, text: str) -> DataFrame:
     """Of a table with a page to a row: each document's pages, and those with legal text."""
-    return pages.groupBy(doc).agg(F.count("*").alias("n_pages"), F.count_if(_spaced(text).rlike(LEGAL)).alias("n_amendment"))
+    return pages.groupBy(doc).agg(F.count("*").alias("n_pages"), F.count_if(_low(text).rlike(_wide(LEGAL))).alias("n_amendment"))
 
 
 def _places(signals: Column, test) -> Column:
@@ -153,7 +180,7 @@ def grid_span(text, breaker: str = "\f") -> Column:
 
         return let(_places(signals, lambda s: s["title_table"]), span)
 
-    return let(F.transform(pages_of(text, breaker), page_signals), located)
+    return let(F.transform(pages_of(text, breaker), table_signals), located)
 
 
 def document_class(text, breaker: str = "\f") -> Column:
