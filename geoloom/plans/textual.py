@@ -154,7 +154,7 @@ def ranked_subpages(spark, sf_dir):
     return a.withColumn("rank", rank.cast("long")).filter("rank <= 5").select("page_id", "href", "rank")
 
 
-LABELS = ("Grille des spécifications", "Plan de zonage", "Service d'urbanisme", "Règlements", "Loisirs", "Nous joindre", "Règlement de zonage", "Règlement modifiant le zonage")
+LINK_LABELS = ("Grille des spécifications", "Plan de zonage", "Service d'urbanisme", "Règlements", "Loisirs", "Nous joindre", "Règlement de zonage", "Règlement modifiant le zonage")
 
 
 def _site_links(spark, sf_dir):
@@ -163,12 +163,12 @@ def _site_links(spark, sf_dir):
     turn = F.col("page_id") + F.col("pos")
     site = F.when(turn % 5 == 0, "https://autre.example.org").otherwise(F.regexp_extract("url", "^[a-z]+://[^/?#]+", 0))
     address = F.concat(site, F.col("href"), F.when(F.col("pos") % 2 == 0, ".pdf").otherwise(""))
-    return rows.select("page_id", "url", address.alias("address"), F.element_at(F.array(*map(F.lit, LABELS)), (turn % len(LABELS) + 1).cast("int")).alias("label"), "pos")
+    return rows.select("page_id", "url", address.alias("address"), F.element_at(F.array(*map(F.lit, LINK_LABELS)), (turn % len(LINK_LABELS) + 1).cast("int")).alias("label"), "pos")
 
 
 LINKS = f"""a AS (SELECT page_id, url, unnest({ANCHORS}) AS href, generate_subscripts({ANCHORS}, 1) - 1 AS pos FROM pages),
 l AS (SELECT page_id, url, CASE WHEN (page_id + pos) % 5 = 0 THEN 'https://autre.example.org' ELSE regexp_extract(url, '^[a-z]+://[^/?#]+') END || href || CASE WHEN pos % 2 = 0 THEN '.pdf' ELSE '' END AS address,
-  list_extract([{", ".join("'" + x.replace("'", "''") + "'" for x in LABELS)}], (page_id + pos) % {len(LABELS)} + 1) AS label, pos FROM a WHERE href <> ''),
+  list_extract([{", ".join("'" + x.replace("'", "''") + "'" for x in LINK_LABELS)}], (page_id + pos) % {len(LINK_LABELS)} + 1) AS label, pos FROM a WHERE href <> ''),
 f AS (SELECT *, {FOLD.format("concat_ws(' ', label, address)")} AS said FROM l)"""
 
 

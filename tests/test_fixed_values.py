@@ -14,6 +14,7 @@ def one(spark, c):
 def test_systems_and_layouts(spark):
     for html, name in (("a/wp-json/", "WordPress"), ("/storage/app/media/x", "October"), ("gestionweblex", "GestionWeblex"), ("<input __VIEWSTATE>", "ASP.NET"), ("goazimut", "GoNet/GoAzimut"), ("", "unknown")):
         assert one(spark, SG.cms(F.lit("https://x.ca"), F.lit(html))) == name
+    assert one(spark, SG.cms(F.lit("https://x.ca"), F.lit("<link href='/wp-content/uploads/x'>"))) == "WordPress" and one(spark, SG.cms(F.lit("https://x.ca"), F.lit("<link href='/WP-content/x'>"))) == "unknown"
     assert one(spark, SG.cms(F.lit("https://www.municipalites-du-quebec.com/a"), F.lit("wp-json"))) == "municipalites-du-quebec.com"
     assert one(spark, SG.structural_family(F.lit("<table class=x> youtu.be"))) == "static-table" and one(spark, SG.structural_family(F.lit("<ul>"))) == "flat-html-list"
 
