@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+from functools import reduce
+from operator import and_
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -256,21 +260,32 @@ def model_json(c) -> Column:
     return F.try_parse_json(F.when(body != "", body).otherwise(F.regexp_extract(col(c), r"(?s)(\{.*\}|\[.*\])", 1)))
 
 
-def zone_answers(df: DataFrame, key: str, answer: str) -> DataFrame:
-    """zone_code, field, raw of {"zones": [{"zone_code", "fields": {...}}]} answers."""
-    zones = df.select(key, F.explode(F.try_variant_get(model_json(answer), "$.zones", "array<variant>")).alias("z"))
-    named = zones.select(key, F.try_variant_get("z", "$.zone_code", "string").alias("zone_code"), F.try_variant_get("z", "$.fields", "map<string,string>").alias("f")).filter("zone_code IS NOT NULL")
-    return named.select(key, "zone_code", F.explode("f").alias("field", "raw"))
+def zone_answers(df: DataFrame, key: str | Sequence[str], answer: str) -> DataFrame:
+    """zone_code, field, raw of {"zones": [{"zone_code", "fields": {...}}]} answers, after the key's columns."""
+    keys = [key] if isinstance(key, str) else [*key]
+    # outer, as Spark would read an answer once more to pass over those that hold nothing
+    zones = df.select(*keys, F.explode_outer(F.try_variant_get(model_json(answer), "$.zones", "array<variant>")).alias("z"))
+    named = zones.select(*keys, F.try_variant_get("z", "$.zone_code", "string").alias("zone_code"), F.try_variant_get("z", "$.fields", "map<string,string>").alias("f")).filter("zone_code IS NOT NULL")
+    return named.select(*keys, "zone_code", F.explode_outer("f").alias("field", "raw")).filter("field IS NOT NULL")
+
 
+def both_passes(a: DataFrame, b: DataFrame, key: str | Sequence[str]) -> DataFrame:
+    """Cells of zones that both readings hold (zones seen once go), with the text of each.
 
-def both_passes(a: DataFrame, b: DataFrame, key: str) -> DataFrame:
-    """Cells of zones that both readings hold (zones seen once go), with the text of each."""
+    One shuffle by key and zone and no join: neither reading is bounded, and Spark's estimate of their size would have them broadcast. Only the second reading's texts of one cell are held at a time.
+    """
     from geoloom.functions.text import canon_zone_code
 
-    side = lambda d, n: d.select(key, canon_zone_code("zone_code").alias("zone_code"), "field", F.col("raw").alias(n))
-    left, right = side(a, "raw_a"), side(b, "raw_b")
-    zones = left.select(key, "zone_code").distinct().join(right.select(key, "zone_code").distinct(), [key, "zone_code"])
-    return left.join(right, [key, "zone_code", "field"], "full").join(zones, [key, "zone_code"], "left_semi")
+    keys = [key] if isinstance(key, str) else [*key]
+    side = lambda d, first: d.select(*keys, canon_zone_code("zone_code").alias("zone_code"), "field", "raw", F.lit(first).alias("bp_first"))
+    first, text = F.col("bp_first"), F.struct("raw")
+    named = reduce(and_, [F.col(k).isNotNull() for k in (*keys, "zone_code")])
+    zone = Window.partitionBy(*keys, "zone_code").orderBy("field").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    cell = Window.partitionBy(*keys, "zone_code", "field")
+    seen = side(a, True).unionByName(side(b, False)).withColumns({"bp_a": F.max(F.when(named, first)).over(zone), "bp_b": F.max(F.when(named, ~first)).over(zone)}).filter("bp_a AND bp_b")
+    paired = seen.withColumns({"bp_firsts": F.count(F.when(first, 1)).over(cell), "bp_seconds": F.collect_list(F.when(~first, text)).over(cell)}).filter("bp_first OR bp_firsts = 0")
+    texts = paired.select(*keys, "zone_code", "field", F.when(first, F.col("raw")).alias("raw_a"), F.explode_outer(F.when(first, F.col("bp_seconds")).otherwise(F.array(text))).alias("bp_text"))
+    return texts.select(*keys, "zone_code", "field", "raw_a", F.col("bp_text.raw").alias("raw_b"))
 
 
 # ---------------------------------------------------------------- small readings

@@ -126,14 +126,11 @@ def layer_addresses(spark, sf_dir):
 @query("""WITH l AS (SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, l_quantity::INT AS q FROM lineitem)
 SELECT l_orderkey, l_linenumber, l_partkey, l_suppkey, 'H-' || l_partkey % 9 AS zone_code, a.q || ' m' AS raw_a, l_linenumber || ' m' AS raw_b FROM l a JOIN l b USING (l_orderkey, l_linenumber, l_partkey, l_suppkey)""")
 def answers_of_two_passes(spark, sf_dir):
-    l = table(spark, sf_dir, "lineitem")
-    key = F.to_json(F.struct(*ORDER))
     zone = F.concat(F.lit("H-"), F.col("l_partkey") % 9)
-    ans = lambda z, v: F.concat(F.lit('```json\n{"zones":[{"zone_code":"'), z, F.lit('","fields":{"x":"'), v, F.lit(' m"}}]}\n```'))
-    df = l.select(key.alias("k"), ans(zone, F.col("l_quantity").cast("int").cast("string")).alias("a"), ans(F.concat(F.lit("zone H "), F.col("l_partkey") % 9), F.col("l_linenumber").cast("string")).alias("b"))
-    both = SG.both_passes(SG.zone_answers(df, "k", "a"), SG.zone_answers(df, "k", "b"), "k")
-    ids = F.from_json("k", "l_orderkey bigint, l_linenumber int, l_partkey bigint, l_suppkey bigint")
-    return both.select(ids.alias("i"), "zone_code", "raw_a", "raw_b").select("i.*", "zone_code", "raw_a", "raw_b")
+    metres = lambda v: F.coalesce(F.concat(F.lit('"'), v.cast("int").cast("string"), F.lit(' m"')), F.lit("null"))
+    ans = lambda z, v: F.concat(F.lit('```json\n{"zones":[{"zone_code":"'), z, F.lit('","fields":{"x":'), v, F.lit('}}]}\n```'))
+    df = table(spark, sf_dir, "lineitem").select(*ORDER, ans(zone, metres(F.rint("l_quantity"))).alias("a"), ans(F.concat(F.lit("zone H "), F.col("l_partkey") % 9), metres(F.col("l_linenumber"))).alias("b"))
+    return SG.both_passes(SG.zone_answers(df, ORDER, "a"), SG.zone_answers(df, ORDER, "b"), ORDER).drop("field")
 
 
 PHRASES = ("de chambres", "de bâtiments", "lot (m)", "min. lot (m)", "min. lot (m²)", "sol max.", "max. étage", "avant min.", "latérale min.", "marges", "arrière min.", "libre min.")

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import pytest
 
+from compared import same
 from geoloom import plans
 from geoloom.operators import extract, joins, signals
 
@@ -83,3 +84,31 @@ def test_closest_in_a_hot_key(spark):
         spark.conf.unset("spark.sql.adaptive.coalescePartitions.enabled")
     assert len(got) == len(want) and {x.id: x.p for x in got} == want
     assert joins.closest(l, r.limit(0), "k", "id", "a", "b", ["p"], "t").count() == 0 and joins.closest(l.limit(0), r, "k", "id", "a", "b", ["p"], "t").count() == 0
+
+
+def _sql_of(path, name):
+    """DuckDB with one table of the folder."""
+    import duckdb
+
+    con = duckdb.connect()
+    con.execute(f"CREATE VIEW {name} AS SELECT * FROM '{path}/{name}.parquet/*.parquet'")
+    return con
+
+
+def test_two_passes_are_neither_broadcast_nor_lost(spark, tmp_path):
+    # equal keys, a missing part of a key, a missing and a broken quantity
+    rows = [(1, 1, 10, 5, 3.0), (1, 1, 10, 5, 4.0), (1, 1, 10, 5, 4.0), (1, None, 10, 5, 3.0), (None, 1, 10, 5, 3.0), (2, 1, 9, 5, None), (3, 7, 8, 5, 2.6), (4, 1, 7, 5, 2.5)]
+    spark.createDataFrame(rows, "l_orderkey long, l_linenumber int, l_partkey long, l_suppkey long, l_quantity double").write.parquet(str(tmp_path / "lineitem.parquet"))
+    df = QUERIES["answers_of_two_passes"](spark, str(tmp_path))
+    assert "Broadcast" not in df._jdf.queryExecution().executedPlan().toString()
+    same(df, _sql_of(tmp_path, "lineitem"), plans.oracle_sql()["answers_of_two_passes"])
+
+
+def test_cells_of_both_passes(spark):
+    a = [(1, "H-1", "x", "5"), (1, "H-1", "x", "6"), (1, "H-1", "y", None), (1, "C-2", "x", "1"), (2, "H-1", "x", "1"), (None, "H-1", "x", "1"), (1, "Zone", "x", "1")]
+    b = [(1, "zone H 1", "x", "7"), (1, "H-1", "x", None), (1, "H – 1", "z", "8"), (1, "H-1", "z", "8"), (3, "H-1", "x", "1"), (None, "H-1", "x", "1"), (1, "Zone", "x", "1")]
+    left, right = (spark.createDataFrame(x, "k int, zone_code string, field string, raw string") for x in (a, b))
+    got = [tuple(r) for r in signals.both_passes(left, right, "k").collect()]
+    want = [("x", "5", "7"), ("x", "5", None), ("x", "6", "7"), ("x", "6", None), ("y", None, None), ("z", None, "8"), ("z", None, "8")]
+    assert sorted(got, key=repr) == sorted([(1, "H-1", *w) for w in want], key=repr)
+    assert signals.both_passes(left, right.limit(0), "k").count() == 0 and signals.both_passes(left.limit(0), right, "k").count() == 0
