@@ -57,7 +57,7 @@ WEIGHTS = ((r"\bthe\b", 6), (r"\bdes?\b", 5), (r"\bund\b", 3), ("tion", 1), ("in
 
 @query(f"SELECT doc_id, ({_weights(FOLD.format('text'))})::INT AS score FROM documents")
 def keyword_score(spark, sf_dir):
-    return table(spark, sf_dir, "documents").select("doc_id", GA.weighed(WEIGHTS, TX.fold("text")).alias("score"))
+    return table(spark, sf_dir, "documents").select("doc_id", GA.weighed(WEIGHTS, TX.fold(F.regexp_replace("text", r"\p{M}", ""))).alias("score"))
 
 
 @query("SELECT page_id, (page_id % 3 = 0)::INT * 19 + (page_id % 3 = 1)::INT * 5 + (page_id % 3 = 2)::INT * -4 AS score FROM pages")

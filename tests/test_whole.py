@@ -3,10 +3,11 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
 from compared import same
 from geoloom import plans
-from geoloom.operators import extract, joins, signals
+from geoloom.operators import extract, gates, joins, signals
 
 QUERIES = plans.queries()
 
@@ -112,3 +113,21 @@ def test_cells_of_both_passes(spark):
     want = [("x", "5", "7"), ("x", "5", None), ("x", "6", "7"), ("x", "6", None), ("y", None, None), ("z", None, "8"), ("z", None, "8")]
     assert sorted(got, key=repr) == sorted([(1, "H-1", *w) for w in want], key=repr)
     assert signals.both_passes(left, right.limit(0), "k").count() == 0 and signals.both_passes(left.limit(0), right, "k").count() == 0
+
+
+def test_keywords_beside_letters_outside_ascii(spark, tmp_path):
+    words = ("the", "de", "des", "und", "of the", "of\u000bthe", "of\u00a0the", "of \f\n\r\tthe", "u\u20ddnd", "t\u0483h\ufe0fe", "DÉS", "ｕｎｄ")
+    marks = ("", "ß", "é", "ñ", "œ", "я", "中", "\u0301", "\u0903", "_", "1", " ", "-", "\u00a0", "\u200b", "\u000b", "𝒜")
+    texts = [x + w + y for w in words for x in marks for y in marks] + ["", None]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    same(QUERIES["keyword_score"](spark, str(tmp_path)), _sql_of(tmp_path, "documents"), plans.oracle_sql()["keyword_score"])
+
+
+def test_link_weights_beside_letters_outside_ascii(spark):
+    import duckdb
+
+    titles = [x + w + y for w in ("grille", "zonage", "urbanisme", "modifiant", "a jour au", "normes", "grille \u000bde zonage", "amendement") for x in ("", "ß", "я", " ", "_") for y in ("", "ß", "я", "s", "-")]
+    said = spark.createDataFrame(list(enumerate(titles)), "i int, said string")
+    con, score = duckdb.connect(), " + ".join("regexp_matches(said, '" + p.replace("'", "''") + f"')::INT * {w}" for p, w in gates.GRID_WEIGHTS)
+    want = [con.execute(f"SELECT {score} FROM (SELECT ? AS said)", [t]).fetchone()[0] for t in titles]
+    assert [r.v for r in said.select("i", gates.weighed(gates.GRID_WEIGHTS, F.col("said")).alias("v")).orderBy("i").collect()] == want
